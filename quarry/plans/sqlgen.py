@@ -67,3 +67,55 @@ def token_rows(table: str, key: str, text: str, stopwords: Iterable[str] | None
         f"SELECT {extra}{key}, {raw_tokens(text)} AS toks FROM {table})) "
         f"WHERE NOT list_contains({stop}, tok)"
     )
+
+
+# --- scalar text functions (mirror quarry.functions.text) ------------------
+
+from ..functions.text import NON_WS, WS  # noqa: E402
+
+
+def py_strip(e: str) -> str:
+    return f"regexp_replace({e}, {q('^' + WS + '+|' + WS + '+$')}, '', 'g')"
+
+
+def blank_to_null(e: str) -> str:
+    return f"nullif({py_strip(e)}, '')"
+
+
+def strip_markup(e: str) -> str:
+    c = f"regexp_replace({e}, '<[^>]+>', '', 'g')"
+    c = f"regexp_replace({c}, {q('(?m)^' + WS + '*[*]' + WS + '+')}, '', 'g')"
+    c = f"regexp_replace({c}, {q(r'[*][*](.*?)[*][*]')}, '\\1', 'g')"
+    c = f"regexp_replace({c}, {q('_(.*?)_')}, '\\1', 'g')"
+    return py_strip(c)
+
+
+def word_count(e: str) -> str:
+    return f"len(regexp_extract_all({e}, {q(NON_WS + '+')}))"
+
+
+def collapse_ws(e: str) -> str:
+    return py_strip(f"regexp_replace({e}, {q(WS + '+')}, ' ', 'g')")
+
+
+def strip_footnotes(e: str) -> str:
+    return py_strip(f"regexp_replace({e}, {q(r'[[](?:[0-9]+|[a-z])[]]')}, '', 'g')")
+
+
+from ..functions.text import FLOAT_LITERAL  # noqa: E402
+
+
+def safe_double(e: str, zero_to_null: bool = False) -> str:
+    s = py_strip(f"CAST({e} AS VARCHAR)")
+    v = f"CASE WHEN regexp_full_match({s}, {q(FLOAT_LITERAL)}) THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END"
+    if zero_to_null:
+        v = f"nullif({v}, 0.0)"
+    return v
+
+
+def safe_long(e: str, zero_to_null: bool = False) -> str:
+    d = safe_double(e)
+    v = f"CASE WHEN abs({d}) < 9.2e18 THEN CAST(trunc({d}) AS BIGINT) END"
+    if zero_to_null:
+        v = f"nullif({v}, 0)"
+    return v

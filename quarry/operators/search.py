@@ -105,8 +105,11 @@ def _bm25_expr(tf: Column, dl: Column, df: Column, n: Column, avgdl: Column,
 def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                      qterms: DataFrame, weights: Mapping[str, float] | None = None,
                      k1: float = config.BM25_K1, b: float = config.BM25_B,
-                     stopwords: Iterable[str] | None = None) -> DataFrame:
-    """(qid, doc, term, s): per-term score, max over weighted fields."""
+                     stopwords: Iterable[str] | None = None,
+                     candidates: DataFrame | None = None) -> DataFrame:
+    """(qid, doc, term, s): per-term score, max over weighted fields.
+    ``candidates`` (qid, doc) restricts the scored documents after the
+    statistics are taken, so filters never change idf or avgdl."""
     weights = dict(weights or {})
     texts = field_texts(docs, key, fields)
     stats = F.broadcast(field_stats(texts, stopwords))  # one row per field
@@ -123,7 +126,11 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
         post.join(dfs, ["field", "term"])
         .join(stats, "field")
         .join(qt, "term")
-        .select(
+    )
+    if candidates is not None:
+        scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
+    scored = (
+        scored.select(
             "qid", "doc", "term", "field",
             (F.col("qtf") * wcol * _bm25_expr(F.col("tf"), F.col("dl"), F.col("df"),
                                                F.col("n_docs"), F.col("avgdl"), k1, b)).alias("s"),
@@ -160,6 +167,25 @@ def top_k(scored: DataFrame, k: int = config.RUN_DEPTH, part: str | list[str] =
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(k))
 
 
+def rerank(top: DataFrame, docs: DataFrame, key: str, field: Column | str, queries: DataFrame,
+           qid: str = "qid", text: str = "text", weight: float = 1.0, depth: int = config.RUN_DEPTH,
+           k: int = config.RUN_DEPTH, stopwords: Iterable[str] | None = None) -> DataFrame:
+    """WR14 / IR12: the first ``depth`` rows of a ranking get
+    ``score + weight * second_score`` (second score 0 when the second query
+    does not match), the others keep their score; then re-ranked. Only the
+    ``depth`` candidates per need are scored by the second query."""
+    cand = top.filter(F.col("rank") <= depth).select("qid", "doc")
+    qterms = query_terms(queries, qid, text, stopwords)
+    ts = bm25_term_scores(docs, key, {"second": field}, qterms, stopwords=stopwords, candidates=cand)
+    s2 = ts.groupBy("qid", "doc").agg(F.sum("s").alias("_s2"))
+    new = top.join(s2, ["qid", "doc"], "left").select(
+        "qid", "doc",
+        F.when(F.col("rank") <= depth, F.col("score") + F.lit(weight) * F.coalesce("_s2", F.lit(0.0)))
+        .otherwise(F.col("score")).alias("score"),
+    )
+    return top_k(new, k)
+
+
 def num_found(scored: DataFrame) -> DataFrame:
     """(qid, num_found): matching documents per query before the limit."""
     return scored.groupBy("qid").agg(F.count(F.lit(1)).alias("num_found"))

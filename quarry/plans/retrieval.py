@@ -31,17 +31,63 @@ _RUN_SQL_SELECT = (
 )
 
 
+def overview(col: str = "text"):
+    """First line of a document (the short 'overview' field)."""
+    return F.substring_index(F.col(col), "\n", 1)
+
+
+def plot(col: str = "text"):
+    """Everything after the first line (the long 'plot' field); null when
+    there is a single line."""
+    c = F.col(col)
+    return F.when(F.locate("\n", c) > 0, c.substr(F.locate("\n", c) + F.lit(1), F.lit(1 << 30)))
+
+
+def run_a(t: Tables, k: int = config.RUN_DEPTH) -> DataFrame:
+    """Setup A: single-field BM25 over the whole text; (qid, doc, rank, score)."""
+    return SR.top_k(SR.bm25(t.documents, "doc_id", "text", needs(t)), k).select("qid", "doc", "rank", "score")
+
+
+def run_b(t: Tables, a: DataFrame | None = None) -> DataFrame:
+    """Setup B: A's top 20 reranked by + 1.0 x overview score."""
+    a = run_a(t) if a is None else a
+    return SR.rerank(a, t.documents, "doc_id", overview(), needs(t), weight=1.0, depth=config.RUN_DEPTH).select(
+        "qid", "doc", "rank", "score"
+    )
+
+
 def bm25_topk_df(spark: SparkSession, sf_dir: str, k: int = config.RUN_DEPTH) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    scored = SR.bm25(t.documents, "doc_id", "text", needs(t))
-    return _run_columns(SR.top_k(scored, k))
+    return _run_columns(run_a(Tables(spark, sf_dir), k))
 
 
-@register(
-    "bm25_topk",
-    "WITH "
-    + B.term_scores_sql("documents", "doc_id", {"text": "text"}, B.query_terms_sql(QUERIES_SQL))
-    + ", " + B.scored_sql(1) + ", " + B.ranked_sql() + " " + _RUN_SQL_SELECT,
-)
+@register("bm25_topk", "WITH " + B.run_a_sql("a_") + " " + B.RUN_SELECT.format(p="a_"))
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_topk_df(spark, sf_dir)
+
+
+@register("rerank_top20", "WITH " + B.run_a_sql("a_") + ", " + B.run_b_sql("b_", "a_") + " " + B.RUN_SELECT.format(p="b_"))
+def rerank_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IR12 + WR14: two-stage ranking (setup B)."""
+    return _run_columns(run_b(Tables(spark, sf_dir)))
+
+
+FIELD_WEIGHTS = {"overview": 3.0, "plot": 1.0}
+
+
+def run_fields(t: Tables, k: int = config.RUN_DEPTH) -> DataFrame:
+    """Weighted two-field trial ``overview^3 plot`` (disjunction-max per term)."""
+    scored = SR.bm25(t.documents, "doc_id", {"overview": overview(), "plot": plot()}, needs(t), weights=FIELD_WEIGHTS)
+    return SR.top_k(scored, k).select("qid", "doc", "rank", "score")
+
+
+_MULTI_SQL = (
+    "WITH " + B.term_scores_sql("documents", "doc_id", {"overview": B.OVERVIEW_SQL, "plot": B.PLOT_SQL},
+                                B.query_terms_sql(B.NEEDS_SQL), FIELD_WEIGHTS, p="m_")
+    + ", " + B.scored_sql(1, "m_") + ", " + B.ranked_sql("m_scored", p="m_") + " " + B.RUN_SELECT.format(p="m_")
+)
+
+
+@register("bm25_multifield", _MULTI_SQL)
+def bm25_multifield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IR6: multi-field weighted search, per-term max over fields."""
+    return _run_columns(run_fields(Tables(spark, sf_dir)))

@@ -25,7 +25,7 @@ document frequency is a partial aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,16 +45,20 @@ def query_terms(queries: DataFrame, qid: str = "qid", text: str = "text",
     )
 
 
-def field_texts(docs: DataFrame, key: str, fields: Mapping[str, Column | str]) -> DataFrame:
-    """Stack the searchable fields of a document table: (doc, field, text).
-    One scan of ``docs`` regardless of the number of fields."""
+def field_texts(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
+                keep: Column | None = None) -> DataFrame:
+    """Stack the searchable fields of a document table: (doc, field, text,
+    _keep). One scan of ``docs`` regardless of the number of fields.
+    ``keep`` is a document filter carried along (not applied) so statistics
+    stay corpus-wide."""
     structs = [
         F.struct(F.lit(name).alias("field"), (F.col(c) if isinstance(c, str) else c).cast("string").alias("text"))
         for name, c in fields.items()
     ]
     return (
-        docs.select(F.col(key).alias("doc"), F.explode(F.array(*structs)).alias("f"))
-        .select("doc", F.col("f.field").alias("field"), F.col("f.text").alias("text"))
+        docs.select(F.col(key).alias("doc"), F.coalesce(keep, F.lit(False)).alias("_keep") if keep is not None
+                    else F.lit(True).alias("_keep"), F.explode(F.array(*structs)).alias("f"))
+        .select("doc", F.col("f.field").alias("field"), F.col("f.text").alias("text"), "_keep")
         .filter(F.col("text").isNotNull())
     )
 
@@ -70,8 +74,8 @@ def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None) -> Dat
 def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
     """(doc, field, dl, term) one row per analyzed term occurrence."""
     return (
-        texts.select("doc", "field", A.analyze("text", stopwords).alias("terms"))
-        .select("doc", "field", F.size("terms").alias("dl"), F.explode("terms").alias("term"))
+        texts.select("doc", "field", "_keep", A.analyze("text", stopwords).alias("terms"))
+        .select("doc", "field", "_keep", F.size("terms").alias("dl"), F.explode("terms").alias("term"))
     )
 
 
@@ -79,9 +83,9 @@ def doc_positions(texts: DataFrame, stopwords: Iterable[str] | None = None) -> D
     """(doc, field, pos, term): positions counted before stopword removal."""
     stop = A.stopword_array(stopwords)
     return (
-        texts.select("doc", "field", F.posexplode(A.raw_tokens("text")).alias("pos", "tok"))
+        texts.select("doc", "field", "_keep", F.posexplode(A.raw_tokens("text")).alias("pos", "tok"))
         .filter(~F.array_contains(stop, F.col("tok")))
-        .select("doc", "field", "pos", A.stem(F.col("tok")).alias("term"))
+        .select("doc", "field", "_keep", "pos", A.stem(F.col("tok")).alias("term"))
     )
 
 
@@ -92,7 +96,7 @@ def postings(texts: DataFrame, terms: DataFrame | None = None,
     occ = doc_terms(texts, stopwords)
     if terms is not None:
         occ = occ.join(terms.select("term").distinct(), "term", "left_semi")
-    return occ.groupBy("field", "term", "doc", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    return occ.groupBy("field", "term", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _bm25_expr(tf: Column, dl: Column, df: Column, n: Column, avgdl: Column,
@@ -106,12 +110,13 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
                      qterms: DataFrame, weights: Mapping[str, float] | None = None,
                      k1: float = config.BM25_K1, b: float = config.BM25_B,
                      stopwords: Iterable[str] | None = None,
-                     candidates: DataFrame | None = None) -> DataFrame:
+                     candidates: DataFrame | None = None,
+                     keep: Column | None = None) -> DataFrame:
     """(qid, doc, term, s): per-term score, max over weighted fields.
     ``candidates`` (qid, doc) restricts the scored documents after the
     statistics are taken, so filters never change idf or avgdl."""
     weights = dict(weights or {})
-    texts = field_texts(docs, key, fields)
+    texts = field_texts(docs, key, fields, keep)
     stats = F.broadcast(field_stats(texts, stopwords))  # one row per field
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
     qt = F.broadcast(qterms) if small else qterms
@@ -127,6 +132,8 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
         .join(stats, "field")
         .join(qt, "term")
     )
+    if keep is not None:
+        scored = scored.filter(F.col("_keep"))
     if candidates is not None:
         scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
     scored = (
@@ -145,13 +152,15 @@ def bm25(docs: DataFrame, key: str, fields: Mapping[str, Column | str] | str,
          queries: DataFrame, qid: str = "qid", text: str = "text",
          weights: Mapping[str, float] | None = None, min_match: int = 1,
          k1: float = config.BM25_K1, b: float = config.BM25_B,
-         stopwords: Iterable[str] | None = None) -> DataFrame:
+         stopwords: Iterable[str] | None = None, keep: Column | None = None,
+         candidates: DataFrame | None = None) -> DataFrame:
     """(qid, doc, score, matched): every document matching >= ``min_match``
-    distinct query terms, scored."""
+    distinct query terms, scored. ``keep`` (a predicate over ``docs``) and
+    ``candidates`` (qid, doc) filter results, never statistics (IR11)."""
     if isinstance(fields, str):
         fields = {fields: fields}
     qterms = query_terms(queries, qid, text, stopwords)
-    ts = bm25_term_scores(docs, key, fields, qterms, weights, k1, b, stopwords)
+    ts = bm25_term_scores(docs, key, fields, qterms, weights, k1, b, stopwords, candidates, keep)
     out = ts.groupBy("qid", "doc").agg(F.sum("s").alias("score"), F.count(F.lit(1)).alias("matched"))
     return out.filter(F.col("matched") >= F.lit(min_match))
 
@@ -189,3 +198,107 @@ def rerank(top: DataFrame, docs: DataFrame, key: str, field: Column | str, queri
 def num_found(scored: DataFrame) -> DataFrame:
     """(qid, num_found): matching documents per query before the limit."""
     return scored.groupBy("qid").agg(F.count(F.lit(1)).alias("num_found"))
+
+
+# --- positions, phrases ----------------------------------------------------
+
+def query_positions(queries: DataFrame, qid: str = "qid", text: str = "text",
+                    stopwords: Iterable[str] | None = None) -> DataFrame:
+    """(qid, pos, term) of the analyzed query; positions before stopword
+    removal."""
+    stop = A.stopword_array(stopwords)
+    return (
+        queries.select(F.col(qid).alias("qid"), F.posexplode(A.raw_tokens(text)).alias("pos", "tok"))
+        .filter(~F.array_contains(stop, F.col("tok")))
+        .select("qid", "pos", A.stem(F.col("tok")).alias("term"))
+    )
+
+
+def query_bigrams(queries: DataFrame, qid: str = "qid", text: str = "text",
+                  stopwords: Iterable[str] | None = None) -> DataFrame:
+    """(qid, idx, t1, t2, gap): consecutive analyzed query terms; ``gap`` is
+    their position difference (> 1 when a stopword sat between them).
+    The window runs inside one query (bounded by its length)."""
+    qp = query_positions(queries, qid, text, stopwords)
+    w = Window.partitionBy("qid").orderBy("pos")
+    nxt = qp.withColumn("t2", F.lead("term").over(w)).withColumn("p2", F.lead("pos").over(w)).withColumn(
+        "idx", F.row_number().over(w) - 1
+    )
+    return nxt.filter(F.col("t2").isNotNull()).select(
+        "qid", "idx", F.col("term").alias("t1"), "t2", (F.col("p2") - F.col("pos")).alias("gap")
+    )
+
+
+def phrase_occurrences(texts: DataFrame, phrases: DataFrame, slop: int = 0,
+                       stopwords: Iterable[str] | None = None) -> DataFrame:
+    """(qid, idx, doc, field, dist) one row per occurrence of a two-term
+    phrase (t1 then t2 at distance gap .. gap + slop).
+
+    Each t1 position is expanded into its 1 + slop admissible t2 positions
+    and equi-joined on (doc, field, pos, term): linear in the number of
+    matching positions, never pairwise within a document."""
+    small = row_count_at_most(phrases, config.BROADCAST_MAX_ROWS)
+    ph = F.broadcast(phrases) if small else phrases
+    terms = phrases.select(F.col("t1").alias("term")).unionByName(phrases.select(F.col("t2").alias("term"))).distinct()
+    pos = doc_positions(texts, stopwords).join(F.broadcast(terms) if small else terms, "term", "left_semi")
+    first = pos.join(ph, pos["term"] == ph["t1"]).select(
+        "qid", "idx", "doc", "field", "t2",
+        F.explode(F.sequence(F.col("pos") + F.col("gap"), F.col("pos") + F.col("gap") + F.lit(slop))).alias("p2"),
+        (F.col("pos")).alias("p1"),
+    )
+    second = pos.select("doc", "field", F.col("pos").alias("p2"), F.col("term").alias("t2"))
+    return first.join(second, ["doc", "field", "p2", "t2"]).select(
+        "qid", "idx", "doc", "field", (F.col("p2") - F.col("p1")).alias("dist")
+    )
+
+
+def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str], queries: DataFrame,
+                  qid: str = "qid", text: str = "text", slop: int = 1,
+                  weights: Mapping[str, float] | None = None,
+                  k1: float = config.BM25_K1, b: float = config.BM25_B,
+                  stopwords: Iterable[str] | None = None) -> DataFrame:
+    """IR7 word-pair boost: (qid, doc, s) summed over the query's adjacent
+    pairs. Per pair and field: sloppy frequency sum(1 / (1 + dist - gap))
+    scored by BM25 with idf(t1) + idf(t2); max over weighted fields."""
+    weights = dict(weights or {})
+    texts = field_texts(docs, key, fields)
+    stats = F.broadcast(field_stats(texts, stopwords))
+    bg = query_bigrams(queries, qid, text, stopwords)
+    qterms = bg.select(F.col("t1").alias("term")).unionByName(bg.select(F.col("t2").alias("term"))).distinct()
+    post = postings(texts, F.broadcast(qterms), stopwords)
+    dfs = F.broadcast(post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
+    lens = post.select("doc", "field", "dl").distinct()
+    occ = phrase_occurrences(texts, bg, slop, stopwords).join(F.broadcast(bg.select("qid", "idx", "gap")), ["qid", "idx"])
+    freq = occ.groupBy("qid", "idx", "doc", "field").agg(
+        F.sum(F.lit(1.0) / (F.lit(1) + F.col("dist") - F.col("gap"))).alias("pf")
+    )
+    idf = lambda df: F.log(F.lit(1.0) + (F.col("n_docs") - df + F.lit(0.5)) / (df + F.lit(0.5)))
+    d1 = dfs.select("field", F.col("term").alias("t1"), F.col("df").alias("df1"))
+    d2 = dfs.select("field", F.col("term").alias("t2"), F.col("df").alias("df2"))
+    wcol = F.lit(1.0)
+    for name, w in weights.items():
+        wcol = F.when(F.col("field") == name, F.lit(float(w))).otherwise(wcol)
+    j = (
+        freq.join(F.broadcast(bg.select("qid", "idx", "t1", "t2")), ["qid", "idx"])
+        .join(lens, ["doc", "field"])
+        .join(stats, "field")
+        .join(d1, ["field", "t1"])
+        .join(d2, ["field", "t2"])
+    )
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))
+    s = wcol * (idf(F.col("df1")) + idf(F.col("df2"))) * F.col("pf") / (F.col("pf") + norm)
+    per = j.select("qid", "idx", "doc", s.alias("s")).groupBy("qid", "idx", "doc").agg(F.max("s").alias("s"))
+    return per.groupBy("qid", "doc").agg(F.sum("s").alias("s"))
+
+
+def best_child(children: DataFrame, parent_key: str, child_key: Sequence[str] | str, text: str,
+               queries: DataFrame, qid: str = "qid", qtext: str = "text", min_match: int = 1,
+               stopwords: Iterable[str] | None = None) -> DataFrame:
+    """IR10 / JN11: score child records (statistics over children), keep the
+    best child score per parent: (qid, doc = parent, score)."""
+    child_key = [child_key] if isinstance(child_key, str) else list(child_key)
+    kids = children.select(
+        F.struct(*[F.col(c) for c in [parent_key] + child_key]).alias("_ck"), F.col(text).alias("_t")
+    )
+    scored = bm25(kids, "_ck", {"child": "_t"}, queries, qid, qtext, min_match=min_match, stopwords=stopwords)
+    return scored.groupBy("qid", F.col(f"doc.{parent_key}").alias("doc")).agg(F.max("score").alias("score"))

@@ -25,7 +25,7 @@ document frequency is a partial aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,18 +63,28 @@ def field_texts(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
     )
 
 
-def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
+Analyzer = Callable[[Column], Column]
+
+
+def _terms_of(text: Column, stopwords: Iterable[str] | None, analyzer: Analyzer | None) -> Column:
+    return analyzer(text) if analyzer is not None else A.analyze(text, stopwords)
+
+
+def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None,
+                analyzer: Analyzer | None = None) -> DataFrame:
     """(field, n_docs, avgdl) over documents that have the field."""
+    dl = F.size(analyzer(F.col("text"))) if analyzer is not None else A.analyzed_length("text", stopwords)
     return texts.groupBy("field").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.avg(A.analyzed_length("text", stopwords).cast("double")).alias("avgdl"),
+        F.avg(dl.cast("double")).alias("avgdl"),
     )
 
 
-def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
+def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None,
+              analyzer: Analyzer | None = None) -> DataFrame:
     """(doc, field, dl, term) one row per analyzed term occurrence."""
     return (
-        texts.select("doc", "field", "_keep", A.analyze("text", stopwords).alias("terms"))
+        texts.select("doc", "field", "_keep", _terms_of(F.col("text"), stopwords, analyzer).alias("terms"))
         .select("doc", "field", "_keep", F.size("terms").alias("dl"), F.explode("terms").alias("term"))
     )
 
@@ -90,10 +100,10 @@ def doc_positions(texts: DataFrame, stopwords: Iterable[str] | None = None) -> D
 
 
 def postings(texts: DataFrame, terms: DataFrame | None = None,
-             stopwords: Iterable[str] | None = None) -> DataFrame:
+             stopwords: Iterable[str] | None = None, analyzer: Analyzer | None = None) -> DataFrame:
     """(field, term, doc, dl, tf). With ``terms`` (a ``term`` column, bounded
     size) only those terms are kept before the shuffle."""
-    occ = doc_terms(texts, stopwords)
+    occ = doc_terms(texts, stopwords, analyzer)
     if terms is not None:
         occ = occ.join(terms.select("term").distinct(), "term", "left_semi")
     return occ.groupBy("field", "term", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("tf"))
@@ -111,17 +121,20 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
                      k1: float = config.BM25_K1, b: float = config.BM25_B,
                      stopwords: Iterable[str] | None = None,
                      candidates: DataFrame | None = None,
-                     keep: Column | None = None) -> DataFrame:
+                     keep: Column | None = None,
+                     analyzer: Analyzer | None = None) -> DataFrame:
     """(qid, doc, term, s): per-term score, max over weighted fields.
     ``candidates`` (qid, doc) restricts the scored documents after the
-    statistics are taken, so filters never change idf or avgdl."""
+    statistics are taken, so filters never change idf or avgdl. When
+    ``qterms`` has a ``word`` column (several index terms per query word),
+    it is kept: (qid, doc, word, term, s)."""
     weights = dict(weights or {})
     texts = field_texts(docs, key, fields, keep)
-    stats = F.broadcast(field_stats(texts, stopwords))  # one row per field
+    stats = F.broadcast(field_stats(texts, stopwords, analyzer))  # one row per field
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
     qt = F.broadcast(qterms) if small else qterms
     terms = qterms.select("term").distinct()
-    post = postings(texts, F.broadcast(terms) if small else terms, stopwords)
+    post = postings(texts, F.broadcast(terms) if small else terms, stopwords, analyzer)
     dfs = post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     dfs = F.broadcast(dfs) if small else dfs
     wcol = F.lit(1.0)
@@ -136,16 +149,17 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
         scored = scored.filter(F.col("_keep"))
     if candidates is not None:
         scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
+    extra = ["word"] if "word" in qterms.columns else []
     scored = (
         scored.select(
-            "qid", "doc", "term", "field",
+            "qid", "doc", *extra, "term", "field",
             (F.col("qtf") * wcol * _bm25_expr(F.col("tf"), F.col("dl"), F.col("df"),
                                                F.col("n_docs"), F.col("avgdl"), k1, b)).alias("s"),
         )
     )
     if len(fields) == 1:
-        return scored.select("qid", "doc", "term", "s")
-    return scored.groupBy("qid", "doc", "term").agg(F.max("s").alias("s"))
+        return scored.select("qid", "doc", *extra, "term", "s")
+    return scored.groupBy("qid", "doc", *extra, "term").agg(F.max("s").alias("s"))
 
 
 def bm25(docs: DataFrame, key: str, fields: Mapping[str, Column | str] | str,
@@ -302,3 +316,49 @@ def best_child(children: DataFrame, parent_key: str, child_key: Sequence[str] |
     )
     scored = bm25(kids, "_ck", {"child": "_t"}, queries, qid, qtext, min_match=min_match, stopwords=stopwords)
     return scored.groupBy("qid", F.col(f"doc.{parent_key}").alias("doc")).agg(F.max("score").alias("score"))
+
+
+# --- character n-gram field --------------------------------------------------
+
+def gram_analyzer(n: int = 3, stopwords: Iterable[str] | None = None) -> Analyzer:
+    """IR13 analyzer: fold, lower, word tokens, stopwords removed, no stem,
+    then the token-internal character n-grams of every token."""
+    stop = A.stopword_array(stopwords)
+
+    def run(text: Column) -> Column:
+        kept = F.filter(A.raw_tokens(text), lambda t: ~F.array_contains(stop, t))
+        return F.flatten(F.transform(kept, lambda t: A.char_ngrams(t, n)))
+
+    return run
+
+
+def query_words(queries: DataFrame, qid: str = "qid", text: str = "text",
+                stopwords: Iterable[str] | None = None) -> DataFrame:
+    """(qid, word, qtf): analyzed query words before stemming."""
+    stop = A.stopword_array(stopwords)
+    kept = F.filter(A.raw_tokens(text), lambda t: ~F.array_contains(stop, t))
+    return (
+        queries.select(F.col(qid).alias("qid"), F.explode(kept).alias("word"))
+        .groupBy("qid", "word").agg(F.count(F.lit(1)).alias("qtf"))
+    )
+
+
+def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFrame,
+                qid: str = "qid", text: str = "text", gram_weight: float = 0.1, n: int = 3,
+                stopwords: Iterable[str] | None = None) -> DataFrame:
+    """Word-level disjunction-max of the stemmed field and its n-gram copy:
+    per query word, max(field score of stem(word), gram_weight x sum of the
+    n-gram scores of word), summed over words. (qid, doc, score)."""
+    words = query_words(queries, qid, text, stopwords)
+    qt_text = words.select("qid", "word", A.stem(F.col("word")).alias("term"), "qtf")
+    qt_gram = (
+        words.select("qid", "word", "qtf", F.explode(A.char_ngrams(F.col("word"), n)).alias("term"))
+        .groupBy("qid", "word", "term").agg(F.sum("qtf").alias("qtf"))
+    )
+    s_text = bm25_term_scores(docs, key, {"text": field}, qt_text, stopwords=stopwords)
+    s_gram = bm25_term_scores(docs, key, {"gram": field}, qt_gram, stopwords=stopwords,
+                              analyzer=gram_analyzer(n, stopwords))
+    g = s_gram.groupBy("qid", "doc", "word").agg((F.sum("s") * F.lit(gram_weight)).alias("s"))
+    both = s_text.select("qid", "doc", "word", "s").unionByName(g)
+    per_word = both.groupBy("qid", "doc", "word").agg(F.max("s").alias("s"))
+    return per_word.groupBy("qid", "doc").agg(F.sum("s").alias("score"))

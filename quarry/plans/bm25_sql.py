@@ -37,8 +37,17 @@ def term_scores_sql(table: str, key: str, fields: Mapping[str, str], qterms_sql:
                     weights: Mapping[str, float] | None = None,
                     k1: float = config.BM25_K1, b: float = config.BM25_B,
                     stopwords: Iterable[str] | None = None, p: str = "",
-                    candidates: str | None = None) -> str:
-    """CTE definitions ending in ``{p}ts(qid, doc, term, s)``."""
+                    candidates: str | None = None, word: bool = False,
+                    gram: int | None = None) -> str:
+    """CTE definitions ending in ``{p}ts(qid, doc, term, s)`` (with ``word``
+    when the query terms carry one). ``gram``: n-gram analyzer."""
+    if gram:
+        terms_of = lambda e: S.gram_terms(e, gram, stopwords)
+        len_of = lambda e: f"len({S.gram_terms(e, gram, stopwords)})"
+    else:
+        terms_of = lambda e: S.analyze(e, stopwords)
+        len_of = lambda e: S.analyzed_length(e, stopwords)
+    wc = "word, " if word else ""
     weights = dict(weights or {})
     wcase = "1.0"
     if weights:
@@ -46,18 +55,18 @@ def term_scores_sql(table: str, key: str, fields: Mapping[str, str], qterms_sql:
     multi = len(fields) > 1
     cand = f" JOIN {candidates} USING (qid, doc)" if candidates else ""
     ts = (
-        f"SELECT qid, doc, term, {'max(s)' if multi else 's'} AS s FROM ("
-        f"SELECT qid, doc, term, field, qtf * ({wcase}) * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf / "
+        f"SELECT qid, doc, {wc}term, {'max(s)' if multi else 's'} AS s FROM ("
+        f"SELECT qid, doc, {wc}term, field, qtf * ({wcase}) * ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf / "
         f"(tf + {k1!r} * ({1.0 - b!r} + {b!r} * dl / avgdl)) AS s "
         f"FROM {p}post JOIN {p}dfs USING (field, term) JOIN {p}stats USING (field) JOIN {p}qt USING (term){cand})"
-        + (" GROUP BY qid, doc, term" if multi else "")
+        + (f" GROUP BY qid, doc, {wc}term" if multi else "")
     )
     return (
         f"{p}qt AS ({qterms_sql}), "
         f"{p}texts AS ({field_texts_sql(table, key, fields)}), "
-        f"{p}stats AS (SELECT field, count(*) AS n_docs, avg(CAST({S.analyzed_length('text', stopwords)} AS DOUBLE)) AS avgdl FROM {p}texts GROUP BY field), "
+        f"{p}stats AS (SELECT field, count(*) AS n_docs, avg(CAST({len_of('text')} AS DOUBLE)) AS avgdl FROM {p}texts GROUP BY field), "
         f"{p}occ AS (SELECT doc, field, len(terms) AS dl, unnest(terms) AS term FROM ("
-        f"SELECT doc, field, {S.analyze('text', stopwords)} AS terms FROM {p}texts)), "
+        f"SELECT doc, field, {terms_of('text')} AS terms FROM {p}texts)), "
         f"{p}post AS (SELECT field, term, doc, dl, count(*) AS tf FROM {p}occ WHERE term IN (SELECT term FROM {p}qt) GROUP BY field, term, doc, dl), "
         f"{p}dfs AS (SELECT field, term, count(*) AS df FROM {p}post GROUP BY field, term), "
         f"{p}ts AS ({ts})"

@@ -119,3 +119,17 @@ def safe_long(e: str, zero_to_null: bool = False) -> str:
     if zero_to_null:
         v = f"nullif({v}, 0)"
     return v
+
+
+def char_ngrams(t: str, n: int = 3) -> str:
+    grams = f"list_transform(range(1, greatest(length({t}) - {n - 1}, 1) + 1), lambda i: substr({t}, i, {n}))"
+    return f"list_filter({grams}, lambda g: length(g) = {n})"
+
+
+def unstemmed(expr: str, stopwords: Iterable[str] | None = None) -> str:
+    stop = stop_list(stopwords)
+    return f"list_filter({raw_tokens(expr)}, lambda x: NOT list_contains({stop}, x))"
+
+
+def gram_terms(expr: str, n: int = 3, stopwords: Iterable[str] | None = None) -> str:
+    return f"flatten(list_transform({unstemmed(expr, stopwords)}, lambda w: {char_ngrams('w', n)}))"

@@ -21,8 +21,25 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Tables whose rows carry long text and get per-row regex work.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give per-row text work at least one task per core. A large input
+    already has many splits and is returned unchanged; a small file with a
+    single row group (one split) is redistributed round-robin."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if name in TEXT_TABLES:
+        df = spread(df)
+    return df
 
 
 class Tables:

@@ -13,9 +13,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace characters of Python's str.isspace().
-WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-NON_WS = "[^" + WS[1:]
+# Whitespace characters of Python's str.isspace(), written
+# out for RE2 (the SQL cross-check) ...
+WS_SQL = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+NON_WS_SQL = "[^" + WS_SQL[1:]
+# ... and for Java, where the Unicode White_Space class plus U+001C..U+001F
+# is the same set and about four times faster than the spelled-out class.
+WS = r"(?U:[\s\x{1C}-\x{1F}])"
+NON_WS = r"(?U:[^\s\x{1C}-\x{1F}])"
 
 # Numeric literal accepted by Python's float() (after trimming),
 # excluding infinities and NaN, which cannot become an integer.

@@ -116,6 +116,34 @@ def _bm25_expr(tf: Column, dl: Column, df: Column, n: Column, avgdl: Column,
     return idf * tf / (tf + norm)
 
 
+def postings_with_lengths(texts: DataFrame, terms: DataFrame, small: bool,
+                          stopwords: Iterable[str] | None = None,
+                          analyzer: Analyzer | None = None) -> tuple[DataFrame, DataFrame]:
+    """One tokenization pass giving both the postings of ``terms`` and the
+    field statistics.
+
+    Every document contributes one extra row with a null term (its length
+    row), so N and avgdl come out of the same aggregate as tf. The result is
+    checkpointed to the shared checkpoint folder: statistics, document
+    frequencies and scores then read it instead of re-tokenizing the
+    corpus, and a lost executor does not send the job back to the scan.
+    Returns (postings(field, term, doc, dl, _keep, tf), stats(field, n_docs, avgdl)).
+    """
+    rows = texts.select("doc", "field", "_keep", _terms_of(F.col("text"), stopwords, analyzer).alias("terms")).select(
+        "doc", "field", "_keep", F.size("terms").alias("dl"),
+        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("terms"))).alias("term"),
+    )
+    flags = terms.select("term").distinct().withColumn("_q", F.lit(True))
+    flagged = rows.join(F.broadcast(flags) if small else flags, "term", "left")
+    kept = flagged.filter(F.col("term").isNull() | F.col("_q"))
+    agg = kept.groupBy("field", "term", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("tf"))
+    agg = agg.checkpoint(eager=True)
+    stats = agg.filter(F.col("term").isNull()).groupBy("field").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl")
+    )
+    return agg.filter(F.col("term").isNotNull()), stats
+
+
 def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                      qterms: DataFrame, weights: Mapping[str, float] | None = None,
                      k1: float = config.BM25_K1, b: float = config.BM25_B,
@@ -130,11 +158,10 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
     it is kept: (qid, doc, word, term, s)."""
     weights = dict(weights or {})
     texts = field_texts(docs, key, fields, keep)
-    stats = F.broadcast(field_stats(texts, stopwords, analyzer))  # one row per field
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
     qt = F.broadcast(qterms) if small else qterms
-    terms = qterms.select("term").distinct()
-    post = postings(texts, F.broadcast(terms) if small else terms, stopwords, analyzer)
+    post, stats = postings_with_lengths(texts, qterms, small, stopwords, analyzer)
+    stats = F.broadcast(stats)  # one row per field
     dfs = post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     dfs = F.broadcast(dfs) if small else dfs
     wcol = F.lit(1.0)

@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import prepare as P
-from ..sources.tables import Tables
+from ..sources.tables import Tables, materialize
 from . import sqlgen as S
 from .registry import register
 
 
 def _clean_docs(t: Tables) -> DataFrame:
-    clean = T.strip_markup("text")
-    return t.documents.select("doc_id", clean.alias("clean")).select(
-        "doc_id", "clean", T.word_count("clean").cast("long").alias("n_words")
-    )
+    d = materialize(t.documents.select("doc_id", "text"), clean=T.strip_markup("text")).drop("text")
+    return d.select("doc_id", "clean", T.word_count("clean").cast("long").alias("n_words"))
 
 
 @register(

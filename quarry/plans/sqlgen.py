@@ -71,7 +71,8 @@ def token_rows(table: str, key: str, text: str, stopwords: Iterable[str] | None
 
 # --- scalar text functions (mirror quarry.functions.text) ------------------
 
-from ..functions.text import NON_WS, WS  # noqa: E402
+from ..functions.text import NON_WS_SQL as NON_WS  # noqa: E402
+from ..functions.text import WS_SQL as WS  # noqa: E402
 
 
 def py_strip(e: str) -> str:

@@ -26,6 +26,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

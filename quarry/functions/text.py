@@ -123,7 +123,7 @@ def parse_name_paren(col: Column | str, drop_all_trailing: bool = False) -> Colu
 
 def date_prefix(col: Column | str) -> Column:
     """FN11: the YYYY-MM-DD prefix or null."""
-    v = F.regexp_extract(_c(col), F.lit(r"^(\d{4}-\d{2}-\d{2})"), 1)
+    v = F.regexp_extract(_c(col), r"^(\d{4}-\d{2}-\d{2})", 1)
     return F.when(v != F.lit(""), v)
 
 

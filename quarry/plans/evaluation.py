@@ -13,7 +13,7 @@ from ..operators import search as SR
 from ..sources.tables import Tables
 from . import bm25_sql as B
 from .registry import register
-from .retrieval import needs, run_a, run_b
+from .retrieval import needs, stored_run
 
 # --- shared SQL -------------------------------------------------------------
 
@@ -49,8 +49,10 @@ PER_QUERY_SQL = RUNS_SQL + (
 
 
 def _runs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    a = run_a(t)
-    return a, run_b(t, a)
+    """Setups A and B as saved runs (SC14 sink / SC6 scan): computed from
+    the tables once, then read by every evaluation, as runs are files the
+    evaluation consumes."""
+    return stored_run(t, "A"), stored_run(t, "B")
 
 
 def _labelled(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -264,8 +266,8 @@ _FUSE_SQL = (
 def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WR13: reciprocal-rank fusion (k = 60) of setup A and the weighted
     overview^3 + plot trial, top 20, ties by ascending id."""
-    from .retrieval import _run_columns, run_fields
+    from .retrieval import _run_columns
 
     t = Tables(spark, sf_dir)
-    both = run_a(t).unionByName(run_fields(t))
+    both = stored_run(t, "A").unionByName(stored_run(t, "fields"))
     return _run_columns(SR.top_k(EV.rrf(both, config.RRF_K)))

@@ -19,7 +19,7 @@ from . import sqlgen as S
 from .prepare import _LINE_ORDER
 from .query_edits import _remove_request_words, _remove_request_words_sql
 from .registry import register
-from .retrieval import needs, overview, plot, run_a
+from .retrieval import needs, overview, plot, stored_run
 from .retrieval_variants import _BEST_CHILD_SQL, _best_child
 
 # --- evidence ---------------------------------------------------------------
@@ -31,7 +31,7 @@ def _need_terms_sql(e: str) -> str:
 
 
 def _pool_terms(t: Tables) -> DataFrame:
-    pool = run_a(t).select("qid", "doc")
+    pool = stored_run(t, "A").select("qid", "doc")
     terms = needs(t).select("qid", EVD.need_terms(F.col("text")).alias("terms"))
     cand = pool.join(bounded_broadcast(terms), "qid")
     return t.documents.select(F.col("doc_id").alias("doc"), "text").join(bounded_broadcast(cand), "doc")
@@ -63,7 +63,7 @@ def evidence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows), joined with ' || '. Greedy windows are a fold, checked against
     a brute-force implementation in the tests."""
     t = Tables(spark, sf_dir)
-    pool = run_a(t).select("qid", "doc")
+    pool = stored_run(t, "A").select("qid", "doc")
     terms = needs(t).select("qid", EVD.need_terms(F.col("text")).alias("terms"))
     cand = pool.join(bounded_broadcast(terms), "qid")
     d = t.documents.select(F.col("doc_id").alias("doc"), plot().alias("plot"), overview().alias("overview"))

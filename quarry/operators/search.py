@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import analyze as A
+from ..sources.store import stage
 from .joins import bounded_broadcast, row_count_at_most
 
 
@@ -127,6 +128,8 @@ def postings_with_lengths(texts: DataFrame, terms: DataFrame, small: bool,
     checkpointed to the shared checkpoint folder: statistics, document
     frequencies and scores then read it instead of re-tokenizing the
     corpus, and a lost executor does not send the job back to the scan.
+    The cut is a Parquet write to the shared checkpoint folder (one job, no
+    recomputation, vectorized reads).
     Returns (postings(field, term, doc, dl, _keep, tf), stats(field, n_docs, avgdl)).
     """
     rows = texts.select("doc", "field", "_keep", _terms_of(F.col("text"), stopwords, analyzer).alias("terms")).select(
@@ -137,7 +140,7 @@ def postings_with_lengths(texts: DataFrame, terms: DataFrame, small: bool,
     flagged = rows.join(F.broadcast(flags) if small else flags, "term", "left")
     kept = flagged.filter(F.col("term").isNull() | F.col("_q"))
     agg = kept.groupBy("field", "term", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("tf"))
-    agg = agg.checkpoint(eager=True)
+    agg = stage(agg, "postings")
     stats = agg.filter(F.col("term").isNull()).groupBy("field").agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl")
     )
@@ -156,11 +159,17 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
     statistics are taken, so filters never change idf or avgdl. When
     ``qterms`` has a ``word`` column (several index terms per query word),
     it is kept: (qid, doc, word, term, s)."""
-    weights = dict(weights or {})
     texts = field_texts(docs, key, fields, keep)
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
-    qt = F.broadcast(qterms) if small else qterms
     post, stats = postings_with_lengths(texts, qterms, small, stopwords, analyzer)
+    return _score(post, stats, qterms, small, len(fields), weights, k1, b, candidates, keep is not None)
+
+
+def _score(post: DataFrame, stats: DataFrame, qterms: DataFrame, small: bool, n_fields: int,
+           weights: Mapping[str, float] | None, k1: float, b: float,
+           candidates: DataFrame | None, filtered: bool) -> DataFrame:
+    weights = dict(weights or {})
+    qt = F.broadcast(qterms) if small else qterms
     stats = F.broadcast(stats)  # one row per field
     dfs = post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     dfs = F.broadcast(dfs) if small else dfs
@@ -172,7 +181,7 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
         .join(stats, "field")
         .join(qt, "term")
     )
-    if keep is not None:
+    if filtered:
         scored = scored.filter(F.col("_keep"))
     if candidates is not None:
         scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
@@ -184,7 +193,7 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
                                                F.col("n_docs"), F.col("avgdl"), k1, b)).alias("s"),
         )
     )
-    if len(fields) == 1:
+    if n_fields == 1:
         return scored.select("qid", "doc", *extra, "term", "s")
     return scored.groupBy("qid", "doc", *extra, "term").agg(F.max("s").alias("s"))
 

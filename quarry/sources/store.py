@@ -44,3 +44,16 @@ def derived(spark: SparkSession, name: str, inputs: Sequence[str],
     if not fs.exists(p):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write an intermediate result once as Parquet under the shared
+    checkpoint folder and continue from the written copy (a lineage cut:
+    later consumers and retries read the files instead of recomputing the
+    producing job). One write job; the read side is a vectorized scan."""
+    import uuid
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/quarry-stage/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -381,20 +381,36 @@ def query_words(queries: DataFrame, qid: str = "qid", text: str = "text",
 
 def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFrame,
                 qid: str = "qid", text: str = "text", gram_weight: float = 0.1, n: int = 3,
-                stopwords: Iterable[str] | None = None) -> DataFrame:
-    """Word-level disjunction-max of the stemmed field and its n-gram copy:
-    per query word, max(field score of stem(word), gram_weight x sum of the
-    n-gram scores of word), summed over words. (qid, doc, score)."""
+                stopwords: Iterable[str] | None = None,
+                fields: Mapping[str, Column | str] | None = None,
+                weights: Mapping[str, float] | None = None) -> DataFrame:
+    """Word-level disjunction-max of stemmed fields and their n-gram copies:
+    per query word, the maximum over fields of ``weight x score`` where a
+    stemmed field scores stem(word) and an n-gram copy (weight
+    ``gram_weight`` x the field's weight) scores the sum of the word's
+    n-grams; summed over words. (qid, doc, score).
+
+    ``fields``/``weights`` default to the single ``field`` with weight 1."""
+    fields = dict(fields) if fields is not None else {"text": field}
+    weights = {f: float((weights or {}).get(f, 1.0)) for f in fields}
     words = query_words(queries, qid, text, stopwords)
     qt_text = words.select("qid", "word", A.stem(F.col("word")).alias("term"), "qtf")
     qt_gram = (
         words.select("qid", "word", "qtf", F.explode(A.char_ngrams(F.col("word"), n)).alias("term"))
         .groupBy("qid", "word", "term").agg(F.sum("qtf").alias("qtf"))
     )
-    s_text = bm25_term_scores(docs, key, {"text": field}, qt_text, stopwords=stopwords)
-    s_gram = bm25_term_scores(docs, key, {"gram": field}, qt_gram, stopwords=stopwords,
-                              analyzer=gram_analyzer(n, stopwords))
-    g = s_gram.groupBy("qid", "doc", "word").agg((F.sum("s") * F.lit(gram_weight)).alias("s"))
-    both = s_text.select("qid", "doc", "word", "s").unionByName(g)
+    s_text = bm25_term_scores(docs, key, fields, qt_text, weights if len(fields) > 1 else None,
+                              stopwords=stopwords).select("qid", "doc", "word", "s")
+    if len(fields) == 1:
+        s_text = s_text.withColumn("s", F.col("s") * F.lit(weights[next(iter(fields))]))
+    parts = [s_text]
+    for name, col in fields.items():
+        s_gram = bm25_term_scores(docs, key, {name + "_gram": col}, qt_gram, stopwords=stopwords,
+                                  analyzer=gram_analyzer(n, stopwords))
+        w = gram_weight * weights[name]
+        parts.append(s_gram.groupBy("qid", "doc", "word").agg((F.sum("s") * F.lit(w)).alias("s")))
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
     per_word = both.groupBy("qid", "doc", "word").agg(F.max("s").alias("s"))
     return per_word.groupBy("qid", "doc").agg(F.sum("s").alias("score"))

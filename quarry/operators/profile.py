@@ -78,18 +78,23 @@ def low_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int = 3,
 def equal_bins(df: DataFrame, col: str, bins: int = 40, cap: float | None = None) -> DataFrame:
     """AG11: ``bins`` equal-width bins spanning the data min..max of values
     <= cap (last bin closed); values above ``cap`` are counted in bin 0.
-    (bin, n)."""
+    (bin, n). Two passes: the range, then one pass that bins every value
+    (overflow included)."""
     x = F.col(col)
     body = df.filter(x.isNotNull())
     kept = body.filter(x <= F.lit(cap)) if cap is not None else body
-    rng = F.broadcast(kept.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx")))
+    rng = kept.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx")).withColumn("_k", F.lit(1))
     width = (F.col("_mx") - F.col("_mn")).cast("double")
     b = F.least(F.floor((x - F.col("_mn")) / width * F.lit(bins)) + F.lit(1), F.lit(bins)).cast("int")
-    binned = kept.join(rng, how="inner").select(F.when(width > 0, b).otherwise(F.lit(1)).alias("bin"))
+    b = F.when(width > 0, b).otherwise(F.lit(1))
+    if cap is not None:
+        b = F.when(x > F.lit(cap), F.lit(0)).otherwise(b)
+    binned = body.withColumn("_k", F.lit(1)).join(F.broadcast(rng), "_k").select(b.alias("bin"))
     out = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     if cap is not None:
-        over = body.filter(x > F.lit(cap)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).alias("bin"), "n")
-        out = out.unionByName(over)
+        # bin 0 is reported even when nothing overflows
+        zero = df.sparkSession.createDataFrame([(0, 0)], "bin int, n bigint")
+        out = out.unionByName(zero).groupBy("bin").agg(F.sum("n").alias("n"))
     return out
 
 

@@ -90,7 +90,7 @@ def metrics_mean_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PR_SQL = RUNS_SQL + (
     ", pr AS (SELECT run_id, qid, recall, round(coalesce(max(CASE WHEN hits >= floor(recall * n_relevant + 0.5) THEN hits / rank END), 0.0), 4) AS precision "
-    "FROM (SELECT h.*, n_relevant, unnest([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS recall FROM h, st WHERE n_relevant > 0) "
+    "FROM (SELECT h.*, n_relevant, unnest([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]::DOUBLE[]) AS recall FROM h, st WHERE n_relevant > 0) "
     "GROUP BY run_id, qid, recall) "
 )
 

@@ -129,3 +129,17 @@ def unmatched_reason(linked: DataFrame) -> Column:
         F.when(~F.col("found"), F.lit("no_item"))
         .when(F.col("article").isNull(), F.lit("no_article"))
     )
+
+
+def joined_list(items: Column, name_field: str = "name", detail_field: str | None = None,
+                sep: str = "; ") -> Column:
+    """AG4: ``Name (Detail)`` or bare ``Name`` entries of an ordered
+    array<struct> joined with ``sep`` (the legacy string form; keep the
+    array for anything downstream)."""
+    def fmt(x: Column) -> Column:
+        if detail_field is None:
+            return x[name_field]
+        return F.when(x[detail_field].isNotNull() & (x[detail_field] != F.lit("")),
+                      F.concat(x[name_field], F.lit(" ("), x[detail_field], F.lit(")"))).otherwise(x[name_field])
+
+    return F.array_join(F.transform(items, fmt), sep)

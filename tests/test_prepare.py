@@ -36,3 +36,10 @@ def test_two_pass_link(spark):
     assert out[3] == (True, None, "primary")         # neither has an article
     assert out[4] == (True, "S23", "secondary")      # only secondary
     assert out[5] == (True, "P14", "primary")        # primary wins when it has an article
+
+
+def test_nested_and_joined_list(spark):
+    df = spark.createDataFrame([(1, 2, "B", None), (1, 1, "A", "x"), (2, 1, "C", "y")], "k int, o int, name string, detail string")
+    nested = P.nested_list(df, "k", "o", ["name", "detail"])
+    out = {r.k: r.s for r in nested.select("k", P.joined_list(F.col("items"), "name", "detail").alias("s")).collect()}
+    assert out == {1: "A (x); B", 2: "C (y)"}

@@ -147,21 +147,52 @@ def postings_with_lengths(texts: DataFrame, terms: DataFrame, small: bool,
     return agg.filter(F.col("term").isNotNull()), stats
 
 
+def build_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
+                stopwords: Iterable[str] | None = None, analyzer: Analyzer | None = None) -> DataFrame:
+    """IR3: the full inverted index of the fields: (field, term, doc, dl, tf)
+    for every analyzed term, plus one null-term length row per (doc, field)
+    carrying dl, so field statistics come from the same table. Built once
+    and stored (``sources.store.derived``); rankings then read it instead of
+    tokenizing the corpus."""
+    texts = field_texts(docs, key, fields)
+    rows = texts.select("doc", "field", _terms_of(F.col("text"), stopwords, analyzer).alias("terms")).select(
+        "doc", "field", F.size("terms").alias("dl"),
+        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("terms"))).alias("term"),
+    )
+    return rows.groupBy("field", "term", "doc", "dl").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def index_postings(index: DataFrame, qterms: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
+    """(postings of the query terms, field statistics) read from an index."""
+    terms = qterms.select("term").distinct()
+    post = index.filter(F.col("term").isNotNull()).join(F.broadcast(terms) if small else terms, "term", "left_semi")
+    stats = index.filter(F.col("term").isNull()).groupBy("field").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl")
+    )
+    return post.withColumn("_keep", F.lit(True)), stats
+
+
 def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                      qterms: DataFrame, weights: Mapping[str, float] | None = None,
                      k1: float = config.BM25_K1, b: float = config.BM25_B,
                      stopwords: Iterable[str] | None = None,
                      candidates: DataFrame | None = None,
                      keep: Column | None = None,
-                     analyzer: Analyzer | None = None) -> DataFrame:
+                     analyzer: Analyzer | None = None,
+                     index: DataFrame | None = None) -> DataFrame:
     """(qid, doc, term, s): per-term score, max over weighted fields.
+    With ``index`` (from ``build_index`` over the same fields and analyzer)
+    the postings come from the stored index instead of the documents.
     ``candidates`` (qid, doc) restricts the scored documents after the
     statistics are taken, so filters never change idf or avgdl. When
     ``qterms`` has a ``word`` column (several index terms per query word),
     it is kept: (qid, doc, word, term, s)."""
-    texts = field_texts(docs, key, fields, keep)
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
-    post, stats = postings_with_lengths(texts, qterms, small, stopwords, analyzer)
+    if index is not None and keep is None:
+        post, stats = index_postings(index, qterms, small)
+    else:
+        texts = field_texts(docs, key, fields, keep)
+        post, stats = postings_with_lengths(texts, qterms, small, stopwords, analyzer)
     return _score(post, stats, qterms, small, len(fields), weights, k1, b, candidates, keep is not None)
 
 
@@ -203,14 +234,14 @@ def bm25(docs: DataFrame, key: str, fields: Mapping[str, Column | str] | str,
          weights: Mapping[str, float] | None = None, min_match: int = 1,
          k1: float = config.BM25_K1, b: float = config.BM25_B,
          stopwords: Iterable[str] | None = None, keep: Column | None = None,
-         candidates: DataFrame | None = None) -> DataFrame:
+         candidates: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
     """(qid, doc, score, matched): every document matching >= ``min_match``
     distinct query terms, scored. ``keep`` (a predicate over ``docs``) and
     ``candidates`` (qid, doc) filter results, never statistics (IR11)."""
     if isinstance(fields, str):
         fields = {fields: fields}
     qterms = query_terms(queries, qid, text, stopwords)
-    ts = bm25_term_scores(docs, key, fields, qterms, weights, k1, b, stopwords, candidates, keep)
+    ts = bm25_term_scores(docs, key, fields, qterms, weights, k1, b, stopwords, candidates, keep, index=index)
     out = ts.groupBy("qid", "doc").agg(F.sum("s").alias("score"), F.count(F.lit(1)).alias("matched"))
     return out.filter(F.col("matched") >= F.lit(min_match))
 
@@ -383,7 +414,8 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
                 qid: str = "qid", text: str = "text", gram_weight: float = 0.1, n: int = 3,
                 stopwords: Iterable[str] | None = None,
                 fields: Mapping[str, Column | str] | None = None,
-                weights: Mapping[str, float] | None = None) -> DataFrame:
+                weights: Mapping[str, float] | None = None,
+                indexes: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Word-level disjunction-max of stemmed fields and their n-gram copies:
     per query word, the maximum over fields of ``weight x score`` where a
     stemmed field scores stem(word) and an n-gram copy (weight
@@ -399,14 +431,15 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
         words.select("qid", "word", "qtf", F.explode(A.char_ngrams(F.col("word"), n)).alias("term"))
         .groupBy("qid", "word", "term").agg(F.sum("qtf").alias("qtf"))
     )
+    indexes = dict(indexes or {})
     s_text = bm25_term_scores(docs, key, fields, qt_text, weights if len(fields) > 1 else None,
-                              stopwords=stopwords).select("qid", "doc", "word", "s")
+                              stopwords=stopwords, index=indexes.get("stemmed")).select("qid", "doc", "word", "s")
     if len(fields) == 1:
         s_text = s_text.withColumn("s", F.col("s") * F.lit(weights[next(iter(fields))]))
     parts = [s_text]
     for name, col in fields.items():
         s_gram = bm25_term_scores(docs, key, {name + "_gram": col}, qt_gram, stopwords=stopwords,
-                                  analyzer=gram_analyzer(n, stopwords))
+                                  analyzer=gram_analyzer(n, stopwords), index=indexes.get(name + "_gram"))
         w = gram_weight * weights[name]
         parts.append(s_gram.groupBy("qid", "doc", "word").agg((F.sum("s") * F.lit(w)).alias("s")))
     both = parts[0]

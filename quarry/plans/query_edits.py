@@ -11,7 +11,7 @@ from ..sources.tables import Tables
 from . import bm25_sql as B
 from . import sqlgen as S
 from .registry import register
-from .retrieval import _run_columns
+from .retrieval import _run_columns, corpus_index
 
 # Parameters of the rewrite trials (chosen for the driver's needs table; the
 # reference's own maps are movie-specific and are passed the same way).
@@ -67,7 +67,7 @@ def _run_sql(needs_sql: str, p: str) -> str:
 
 
 def _run(t: Tables, q: DataFrame) -> DataFrame:
-    return _run_columns(SR.top_k(SR.bm25(t.documents, "doc_id", "text", q)))
+    return _run_columns(SR.top_k(SR.bm25(t.documents, "doc_id", "text", q, index=corpus_index(t, "text"))))
 
 
 @register("stopword_queries", _run_sql(_needs_sql(_remove_request_words_sql), "s_"))
@@ -118,7 +118,8 @@ def trigram_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     query word with the stemmed field (disjunction-max)."""
     t = Tables(spark, sf_dir)
     q = edited_needs(t, lambda c: c)
-    return _run_columns(SR.top_k(SR.gram_search(t.documents, "doc_id", F.col("text"), q, gram_weight=GRAM_WEIGHT)))
+    return _run_columns(SR.top_k(SR.gram_search(t.documents, "doc_id", F.col("text"), q, gram_weight=GRAM_WEIGHT,
+                                                indexes=_gram_indexes(t))))
 
 
 @register("trigram_typo_search", _gram_sql(_needs_sql(_typos_sql)))
@@ -126,4 +127,9 @@ def trigram_typo_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IR13 + FN25: the trigram field on misspelled needs."""
     t = Tables(spark, sf_dir)
     q = edited_needs(t, lambda c: T.replace_map(c, TYPOS))
-    return _run_columns(SR.top_k(SR.gram_search(t.documents, "doc_id", F.col("text"), q, gram_weight=GRAM_WEIGHT)))
+    return _run_columns(SR.top_k(SR.gram_search(t.documents, "doc_id", F.col("text"), q, gram_weight=GRAM_WEIGHT,
+                                                indexes=_gram_indexes(t))))
+
+
+def _gram_indexes(t: Tables) -> dict:
+    return {"stemmed": corpus_index(t, "text"), "text_gram": corpus_index(t, "text_gram")}

@@ -14,7 +14,7 @@ from ..sources.tables import Tables
 from . import bm25_sql as B
 from . import sqlgen as S
 from .registry import register
-from .retrieval import _run_columns, needs
+from .retrieval import _run_columns, corpus_index, needs
 
 A_SQL = "WITH " + B.run_a_sql("a_")
 
@@ -44,7 +44,7 @@ def _occ_sql(bg: str, slop: int) -> str:
 def bm25_num_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IR16: documents matching each need before the top-k cut."""
     t = Tables(spark, sf_dir)
-    return SR.num_found(SR.bm25(t.documents, "doc_id", "text", needs(t)))
+    return SR.num_found(SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text")))
 
 
 @register(
@@ -55,7 +55,8 @@ def bm25_num_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bm25_min_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IR9: minimum-should-match 3 distinct query terms."""
     t = Tables(spark, sf_dir)
-    return _run_columns(SR.top_k(SR.bm25(t.documents, "doc_id", "text", needs(t), min_match=3)))
+    return _run_columns(SR.top_k(SR.bm25(t.documents, "doc_id", "text", needs(t), min_match=3,
+                                         index=corpus_index(t, "text"))))
 
 
 _SOURCES = [f"src{i}" for i in range(1, 11)]
@@ -108,7 +109,7 @@ def negated_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PF12: ranking without documents containing the need's first phrase
     (left anti on (qid, doc))."""
     t = Tables(spark, sf_dir)
-    scored = SR.bm25(t.documents, "doc_id", "text", needs(t))
+    scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))
     return _run_columns(SR.top_k(scored.join(_first_phrase_docs(t), ["qid", "doc"], "left_anti")))
 
 
@@ -145,7 +146,7 @@ _PAIR_SQL = (
 def phrase_pair_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IR7: adjacent word-pair phrase boost with slop 1 added to BM25."""
     t = Tables(spark, sf_dir)
-    scored = SR.bm25(t.documents, "doc_id", "text", needs(t))
+    scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))
     ps = SR.phrase_scores(t.documents, "doc_id", {"text": "text"}, needs(t), slop=1)
     boosted = scored.join(ps, ["qid", "doc"], "left").select(
         "qid", "doc", (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score")

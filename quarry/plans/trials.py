@@ -18,7 +18,7 @@ from ..operators.joins import bounded_broadcast
 from ..sources.tables import Tables
 from .query_edits import TYPOS, _expand, _remove_request_words, edited_needs
 from .registry import register
-from .retrieval import FIELD_WEIGHTS, needs, overview, plot
+from .retrieval import FIELD_WEIGHTS, corpus_index, needs, overview, plot
 
 TRIALS = (
     "A", "fields", "phrases", "fields+phrases", "fields+stops", "fields+synonyms",
@@ -39,18 +39,22 @@ def _scored(t: Tables, trial: str) -> DataFrame:
         q = edited_needs(t, _remove_request_words)
     if "+synonyms" in trial:
         q = edited_needs(t, _expand)
+    text_idx, fields_idx = corpus_index(t, "text"), corpus_index(t, "fields")
     if trial in ("A", "rerank"):
-        return SR.bm25(d, "doc_id", "text", q).select("qid", "doc", "score")
+        return SR.bm25(d, "doc_id", "text", q, index=text_idx).select("qid", "doc", "score")
     if trial == "phrases":
-        base = SR.bm25(d, "doc_id", "text", q)
+        base = SR.bm25(d, "doc_id", "text", q, index=text_idx)
         ps = SR.phrase_scores(d, "doc_id", {"text": "text"}, q, slop=1)
     elif trial == "fields+phrases":
-        base = SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS)
+        base = SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx)
         ps = SR.phrase_scores(d, "doc_id", _fields(), q, slop=1, weights=FIELD_WEIGHTS)
     elif "+grams" in trial:
-        return SR.gram_search(d, "doc_id", None, q, gram_weight=0.1, fields=_fields(), weights=FIELD_WEIGHTS)
+        idx = {"stemmed": fields_idx, "overview_gram": corpus_index(t, "overview_gram"),
+               "plot_gram": corpus_index(t, "plot_gram")}
+        return SR.gram_search(d, "doc_id", None, q, gram_weight=0.1, fields=_fields(), weights=FIELD_WEIGHTS,
+                              indexes=idx)
     else:
-        return SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS).select("qid", "doc", "score")
+        return SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx).select("qid", "doc", "score")
     return base.join(ps, ["qid", "doc"], "left").select(
         "qid", "doc", (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score")
     )

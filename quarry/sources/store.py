@@ -3,8 +3,8 @@
 A derived table (for example a saved ranking run that several evaluations
 read) is written as Parquet under ``spark.checkpoint.dir`` in a folder whose
 name carries a fingerprint of its inputs (path, size and modification time
-of every input file). A changed input gives a new folder, so a stored table
-is never stale; an existing complete folder is read instead of recomputed.
+of every input file) and of the package source. A changed input or changed
+code gives a new folder, so a stored table is never stale; an existing complete folder is read instead of recomputed.
 Paths go through the Hadoop FileSystem API, so the same code works for a
 local folder and for cluster storage.
 """
@@ -25,8 +25,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+def _code_version() -> str:
+    """Digest of the package source, so a stored table built by other code
+    is never reused."""
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()
+
+
+_CODE = _code_version()
+
+
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    h = hashlib.sha1(_CODE.encode())
     for path in sorted(paths):
         fs, p = _fs(spark, path)
         for st in fs.listStatus(p):

@@ -57,3 +57,12 @@ def test_topk_total_order(spark):
     df = spark.createDataFrame([(1, d, 1.0) for d in (5, 3, 9, 1)] + [(2, 7, 2.0)], "qid long, doc long, score double")
     out = [(r.qid, r.doc, r.rank) for r in SR.top_k(df, 3).orderBy("qid", "rank").collect()]
     assert out == [(1, 1, 1), (1, 3, 2), (1, 5, 3), (2, 7, 1)]
+
+
+def test_index_path_equals_direct_path(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    queries = spark.createDataFrame(QUERIES, "qid long, text string")
+    idx = SR.build_index(docs, "doc_id", {"text": "text"})
+    direct = {(r.qid, r.doc): round(r.score, 12) for r in SR.bm25(docs, "doc_id", "text", queries).collect()}
+    via = {(r.qid, r.doc): round(r.score, 12) for r in SR.bm25(docs, "doc_id", "text", queries, index=idx).collect()}
+    assert direct == via

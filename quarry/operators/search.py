@@ -310,8 +310,16 @@ def query_bigrams(queries: DataFrame, qid: str = "qid", text: str = "text",
     )
 
 
-def phrase_occurrences(texts: DataFrame, phrases: DataFrame, slop: int = 0,
-                       stopwords: Iterable[str] | None = None) -> DataFrame:
+def build_position_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
+                         stopwords: Iterable[str] | None = None) -> DataFrame:
+    """Positional index (field, term, doc, pos), positions counted before
+    stopword removal; built once and stored like ``build_index``."""
+    return doc_positions(field_texts(docs, key, fields), stopwords).select("field", "term", "doc", "pos")
+
+
+def phrase_occurrences(texts: DataFrame | None, phrases: DataFrame, slop: int = 0,
+                       stopwords: Iterable[str] | None = None,
+                       positions: DataFrame | None = None) -> DataFrame:
     """(qid, idx, doc, field, dist) one row per occurrence of a two-term
     phrase (t1 then t2 at distance gap .. gap + slop).
 
@@ -321,7 +329,8 @@ def phrase_occurrences(texts: DataFrame, phrases: DataFrame, slop: int = 0,
     small = row_count_at_most(phrases, config.BROADCAST_MAX_ROWS)
     ph = F.broadcast(phrases) if small else phrases
     terms = phrases.select(F.col("t1").alias("term")).unionByName(phrases.select(F.col("t2").alias("term"))).distinct()
-    pos = doc_positions(texts, stopwords).join(F.broadcast(terms) if small else terms, "term", "left_semi")
+    src = positions if positions is not None else doc_positions(texts, stopwords)
+    pos = src.join(F.broadcast(terms) if small else terms, "term", "left_semi")
     first = pos.join(ph, pos["term"] == ph["t1"]).select(
         "qid", "idx", "doc", "field", "t2",
         F.explode(F.sequence(F.col("pos") + F.col("gap"), F.col("pos") + F.col("gap") + F.lit(slop))).alias("p2"),
@@ -337,19 +346,29 @@ def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                   qid: str = "qid", text: str = "text", slop: int = 1,
                   weights: Mapping[str, float] | None = None,
                   k1: float = config.BM25_K1, b: float = config.BM25_B,
-                  stopwords: Iterable[str] | None = None) -> DataFrame:
+                  stopwords: Iterable[str] | None = None, index: DataFrame | None = None,
+                  positions: DataFrame | None = None) -> DataFrame:
     """IR7 word-pair boost: (qid, doc, s) summed over the query's adjacent
     pairs. Per pair and field: sloppy frequency sum(1 / (1 + dist - gap))
-    scored by BM25 with idf(t1) + idf(t2); max over weighted fields."""
+    scored by BM25 with idf(t1) + idf(t2); max over weighted fields.
+    With ``index`` and ``positions`` (stored indexes of the same fields) no
+    document is tokenized."""
     weights = dict(weights or {})
-    texts = field_texts(docs, key, fields)
-    stats = F.broadcast(field_stats(texts, stopwords))
+    texts = field_texts(docs, key, fields) if index is None or positions is None else None
     bg = query_bigrams(queries, qid, text, stopwords)
+    small = row_count_at_most(bg, config.BROADCAST_MAX_ROWS)
     qterms = bg.select(F.col("t1").alias("term")).unionByName(bg.select(F.col("t2").alias("term"))).distinct()
-    post = postings(texts, F.broadcast(qterms), stopwords)
+    if index is not None:
+        post, stats = index_postings(index, qterms, small)
+    else:
+        stats = field_stats(texts, stopwords)
+        post = postings(texts, F.broadcast(qterms) if small else qterms, stopwords)
+    stats = F.broadcast(stats)
     dfs = F.broadcast(post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
     lens = post.select("doc", "field", "dl").distinct()
-    occ = phrase_occurrences(texts, bg, slop, stopwords).join(F.broadcast(bg.select("qid", "idx", "gap")), ["qid", "idx"])
+    occ = phrase_occurrences(texts, bg, slop, stopwords, positions).join(
+        F.broadcast(bg.select("qid", "idx", "gap")), ["qid", "idx"]
+    )
     freq = occ.groupBy("qid", "idx", "doc", "field").agg(
         F.sum(F.lit(1.0) / (F.lit(1) + F.col("dist") - F.col("gap"))).alias("pf")
     )

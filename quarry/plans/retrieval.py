@@ -63,6 +63,16 @@ def corpus_index(t: Tables, spec: str) -> DataFrame:
                    lambda: SR.build_index(t.documents, "doc_id", fields, analyzer=analyzer))
 
 
+def corpus_positions(t: Tables, spec: str) -> DataFrame:
+    """Stored positional index of ``documents``: 'text' or 'fields'."""
+    from ..sources.store import derived
+    from ..sources.tables import table_path
+
+    fields = {"text": {"text": F.col("text")}, "fields": {"overview": overview(), "plot": plot()}}[spec]
+    return derived(t.spark, f"positions-{spec}", [table_path(t.sf_dir, "documents")],
+                   lambda: SR.build_position_index(t.documents, "doc_id", fields))
+
+
 def run_a(t: Tables, k: int = config.RUN_DEPTH) -> DataFrame:
     """Setup A: single-field BM25 over the whole text; (qid, doc, rank, score)."""
     scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))

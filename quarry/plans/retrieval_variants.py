@@ -14,7 +14,7 @@ from ..sources.tables import Tables
 from . import bm25_sql as B
 from . import sqlgen as S
 from .registry import register
-from .retrieval import _run_columns, corpus_index, needs
+from .retrieval import _run_columns, corpus_index, corpus_positions, needs
 
 A_SQL = "WITH " + B.run_a_sql("a_")
 
@@ -84,8 +84,7 @@ def bm25_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _first_phrase_docs(t: Tables) -> DataFrame:
     bg = SR.query_bigrams(needs(t)).filter(F.col("idx") == 0)
-    texts = SR.field_texts(t.documents, "doc_id", {"text": "text"})
-    return SR.phrase_occurrences(texts, bg, 0).select("qid", "doc").distinct()
+    return SR.phrase_occurrences(None, bg, 0, positions=corpus_positions(t, "text")).select("qid", "doc").distinct()
 
 
 @register(
@@ -147,7 +146,8 @@ def phrase_pair_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IR7: adjacent word-pair phrase boost with slop 1 added to BM25."""
     t = Tables(spark, sf_dir)
     scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))
-    ps = SR.phrase_scores(t.documents, "doc_id", {"text": "text"}, needs(t), slop=1)
+    ps = SR.phrase_scores(t.documents, "doc_id", {"text": "text"}, needs(t), slop=1,
+                          index=corpus_index(t, "text"), positions=corpus_positions(t, "text"))
     boosted = scored.join(ps, ["qid", "doc"], "left").select(
         "qid", "doc", (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score")
     )

@@ -18,7 +18,7 @@ from ..operators.joins import bounded_broadcast
 from ..sources.tables import Tables
 from .query_edits import TYPOS, _expand, _remove_request_words, edited_needs
 from .registry import register
-from .retrieval import FIELD_WEIGHTS, corpus_index, needs, overview, plot
+from .retrieval import FIELD_WEIGHTS, corpus_index, corpus_positions, needs, overview, plot
 
 TRIALS = (
     "A", "fields", "phrases", "fields+phrases", "fields+stops", "fields+synonyms",
@@ -44,10 +44,12 @@ def _scored(t: Tables, trial: str) -> DataFrame:
         return SR.bm25(d, "doc_id", "text", q, index=text_idx).select("qid", "doc", "score")
     if trial == "phrases":
         base = SR.bm25(d, "doc_id", "text", q, index=text_idx)
-        ps = SR.phrase_scores(d, "doc_id", {"text": "text"}, q, slop=1)
+        ps = SR.phrase_scores(d, "doc_id", {"text": "text"}, q, slop=1, index=text_idx,
+                              positions=corpus_positions(t, "text"))
     elif trial == "fields+phrases":
         base = SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx)
-        ps = SR.phrase_scores(d, "doc_id", _fields(), q, slop=1, weights=FIELD_WEIGHTS)
+        ps = SR.phrase_scores(d, "doc_id", _fields(), q, slop=1, weights=FIELD_WEIGHTS, index=fields_idx,
+                              positions=corpus_positions(t, "fields"))
     elif "+grams" in trial:
         idx = {"stemmed": fields_idx, "overview_gram": corpus_index(t, "overview_gram"),
                "plot_gram": corpus_index(t, "plot_gram")}

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import setsketch
+from . import decision_list, setsketch
 
 QUERIES = {}
 ORACLES = {}
@@ -59,3 +59,12 @@ FROM s JOIN c USING (doc_id)
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the learned decision list's verdict for every document."""
+    docs = table(spark, sf_dir, "documents")
+    rules = decision_list.learn(docs, table(spark, sf_dir, "labels"))
+    judged = decision_list.judge(docs, rules, carry=["doc_id"])
+    return judged.select("_row.doc_id", *decision_list.COUNTS, "base_failed", "kept", "rule")

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, setsketch
+from . import decision_list, decontamination, setsketch
 
 QUERIES = {}
 ORACLES = {}
@@ -68,3 +68,38 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = decision_list.learn(docs, table(spark, sf_dir, "labels"))
     judged = decision_list.judge(docs, rules, carry=["doc_id"])
     return judged.select("_row.doc_id", *decision_list.COUNTS, "base_failed", "kept", "rule")
+
+
+_NORMAL_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP8_SQL = f"""
+WITH d AS (
+  SELECT doc_id, {_NORMAL_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_NORMAL_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark
+), iw AS (
+  SELECT item, least(len(w), 13) AS size, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i, w FROM b WHERE len(w) > 0
+), win AS (
+  SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS x FROM iw
+), dw AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS i, w FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size
+), hit AS (
+  SELECT DISTINCT dw.doc_id, dw.i, dw.size, win.item FROM dw JOIN win ON win.size = dw.size AND win.x = array_to_string(dw.w[dw.i:dw.i + dw.size - 1], ' ')
+), n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id
+), k AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+@_query("op8_decontamination", OP8_SQL)
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark hits of every document."""
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("_row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), "contaminated")

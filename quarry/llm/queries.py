@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, setsketch
+from . import decision_list, decontamination, pieces, setsketch
 
 QUERIES = {}
 ORACLES = {}
@@ -103,3 +103,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select("_row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def vocabulary(name: str = "piece_bpe_32k.model") -> str:
+    """Path of an installed public tokenizer file; QUARRY_PIECES overrides it."""
+    import public_tokenizers
+
+    return os.environ.get("QUARRY_PIECES") or public_tokenizers.path(name)
+
+
+@_query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and whether they decode to its text."""
+    coded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary(), carry=["doc_id"])
+    return coded.select("_row.doc_id", "n_tokens", "ids", "round_trip")

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, pieces, setsketch
+from . import decision_list, decontamination, language, pieces, setsketch
 
 QUERIES = {}
 ORACLES = {}
@@ -117,3 +117,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and whether they decode to its text."""
     coded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary(), carry=["doc_id"])
     return coded.select("_row.doc_id", "n_tokens", "ids", "round_trip")
+
+
+def _bucket(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@_query("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those outside the held-out part."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(_bucket(4) == 2, F.lit(False)))
+    model = language.learn(docs.where(~F.col("held_out")))
+    found = language.identify(docs, model, carry=["doc_id", "held_out"])
+    return found.select("_row.*", F.col("lang").alias("lang_pred"), "score", F.size("spans").alias("n_spans"))

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, language, pieces, setsketch
+from . import decision_list, decontamination, extraction, language, pieces, setsketch
 
 QUERIES = {}
 ORACLES = {}
@@ -130,3 +130,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.learn(docs.where(~F.col("held_out")))
     found = language.identify(docs, model, carry=["doc_id", "held_out"])
     return found.select("_row.*", F.col("lang").alias("lang_pred"), "score", F.size("spans").alias("n_spans"))
+
+
+@_query("op7_extraction")
+def op7_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extraction.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return found.select("_row.*", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -133,7 +133,7 @@ class Page:
             tag = m[2].lower()
             if m[1]:
                 if self._count.get(tag):
-                    self._close_open({tag}, ())
+                    self._pop_to(next(i for i in range(len(self._stack) - 1, 0, -1) if self.elements[self._stack[i]][2] == tag))
                 elif tag in BLOCK:
                     self._flush()
                 continue

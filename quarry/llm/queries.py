@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, extraction, language, pieces, setsketch
+from . import decision_list, decontamination, extraction, language, pieces, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -137,3 +137,27 @@ def op7_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = extraction.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
     return found.select("_row.*", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest, n) AS holder FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < holder THEN holder END AS refers_to
+FROM k
+"""
+
+
+@_query("op10_warc", OP10_SQL)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from the archives written for it."""
+    folder = warc.archive_folder(spark)
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    found = warc.read(index, folder)
+    damaged = F.when(~F.col("intact"), F.raise_error(F.concat(F.lit("damaged record: "), "page_key")))
+    return found.select(F.expr("try_cast(page_key as bigint)").alias("page_id"), "payload_bytes", "payload_digest",
+                        F.coalesce(damaged.cast("string"), "record_type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))

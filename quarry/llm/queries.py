@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, extraction, language, pieces, setsketch, warc
+from . import decision_list, decontamination, extraction, language, pieces, resampling, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -161,3 +161,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = F.when(~F.col("intact"), F.raise_error(F.concat(F.lit("damaged record: "), "page_key")))
     return found.select(F.expr("try_cast(page_key as bigint)").alias("page_id"), "payload_bytes", "payload_digest",
                         F.coalesce(damaged.cast("string"), "record_type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@_query("op9_resampling")
+def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, verdict and sample of every document."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, extraction, language, pieces, resampling, setsketch, warc
+from . import decision_list, decontamination, extraction, language, ngrams, pieces, resampling, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -167,3 +167,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight, verdict and sample of every document."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op3_ngram_scores")
+def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie and unigram log-probabilities of every document."""
+    return ngrams.score(table(spark, sf_dir, "documents"), _bucket(7) != 2)

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, extraction, language, ngrams, pieces, resampling, setsketch, warc
+from . import decision_list, decontamination, extraction, language, licenses, ngrams, pieces, resampling, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -173,3 +173,27 @@ def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie and unigram log-probabilities of every document."""
     return ngrams.score(table(spark, sf_dir, "documents"), _bucket(7) != 2)
+
+
+_LICENSES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+_PLAIN = "regexp_extract_all(lower(coalesce({}, '')), '[a-z0-9]+')"
+_FIVES = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+
+OP5_SQL = f"""
+WITH t AS (
+  SELECT license, unnest({_FIVES}) AS x FROM (SELECT license, {_PLAIN.format("body")} AS w FROM (VALUES {_LICENSES}) v(license, body))
+), d AS (
+  SELECT doc_id, unnest({_FIVES}) AS x FROM (SELECT doc_id, {_PLAIN.format("text")} AS w FROM documents)
+), n AS (
+  SELECT license, count(*) AS n FROM t GROUP BY license
+)
+SELECT doc_id, license, n AS n_shingles, count(*) AS n_found, count(*) / n AS containment
+FROM d JOIN t USING (x) JOIN n USING (license)
+GROUP BY doc_id, license, n HAVING 100 * count(*) >= 75 * n
+"""
+
+
+@_query("op5_licenses", OP5_SQL)
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -20,7 +20,8 @@ documents with ``100 * |intersection| >= 75 * |union|``:
    when the joint likelihood of its registers does not exclude the threshold,
    and is confirmed on the full shingle sets of the two texts. Two rounds
    join the large groups; then every remaining pair of different components
-   that shares a bucket is compared, so no candidate is left out.
+   that shares a bucket is compared, except those that their sets' unshared
+   shingles rule out, so no candidate is left out.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ BASE = 1.1
 RATE = 20.0
 BANDS, ROWS = 51, 5
 PIVOT_ROUNDS = 2
+PEELS = 2
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -246,7 +248,7 @@ def _node_components(docs: DataFrame, nodes: DataFrame, key: str, text: str) ->
             pairs = now.join(pivots, "bucket").where("comp != a_comp").select(
                 F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         else:
-            pairs = _remaining(stage(now.join(pivots.select("bucket"), "bucket"), "open"))
+            pairs = _remaining(stage(now.join(pivots.select("bucket"), "bucket"), "open"), met, texts)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -261,14 +263,42 @@ def _node_components(docs: DataFrame, nodes: DataFrame, key: str, text: str) ->
     return comps
 
 
-def _remaining(members: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket that are in different components. The
-    members of each bucket's largest component are compared with the other
-    members only, never with one another."""
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, h): the distinct shingles of every text, as hashes."""
+    for batch in batches:
+        node = batch.column(0).to_numpy()
+        for block in tokens.blocks(batch.column(1)):
+            h, own = tokens.shingles(tokens.word_hashes(block), block.bounds, WORDS)
+            order = np.lexsort((h, own))
+            h, own = h[order], own[order]
+            new = np.concatenate(([True], (h[1:] != h[:-1]) | (own[1:] != own[:-1]))) if len(h) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(node[block.first + own[new]]), pa.array(h[new].view(np.int64))], ["node", "h"])
+
+
+def _remaining(members: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket that are in different components and may
+    be linked. The members of each bucket's largest component are compared
+    with the other members only, never with one another.
+
+    A shingle that no other member of an open bucket holds cannot be shared.
+    With c the number of a set's other shingles, sets of sizes m and n can be
+    linked only if c >= 3 / 7 * (m + n), the intersection that the threshold
+    asks for. That drops most stragglers of a large group before any pair of
+    them is made, and loses no link.
+    """
     sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
     largest = stage(sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top")).select("bucket", F.col("top.comp").alias("top")), "largest")
-    marked = stage(members.join(largest, "bucket"), "marked")
-    others = marked.where("comp != top").select("bucket", F.col("node").alias("u"), F.col("comp").alias("u_comp"))
-    every = marked.select("bucket", F.col("node").alias("v"), F.col("comp").alias("v_comp"), "top")
-    pairs = others.join(every, "bucket").where("u_comp != v_comp and (v_comp = top or u < v)")
+    open_ = stage(members.select("node").distinct(), "open-nodes")
+    hashed = stage(texts.join(open_, "node").select("node", "text").mapInArrow(_hashes, "node long, h long"), "shingles")
+    held = met.select("node", "n").join(open_, "node")
+    for _ in range(PEELS):  # without the sets ruled out, more shingles are unshared
+        alone = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).where("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+        held = stage(held.select("node", "n").join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")).where("4 * c >= 3 * n"), "held")
+        hashed = hashed.join(held.select("node"), "node")
+    marked = stage(members.join(held, "node").join(largest, "bucket"), "marked")
+    lengths = stage(marked.select("bucket", F.col("n").alias("m")).distinct(), "lengths")
+    others = marked.where("comp != top").join(lengths, "bucket").where("4 * m >= 3 * n and 4 * n >= 3 * m and 7 * c >= 3 * (m + n)")
+    others = stage(others.select("bucket", "m", F.col("node").alias("u"), F.col("comp").alias("u_comp"), F.col("n").alias("u_n")), "others")
+    every = marked.select("bucket", F.col("n").alias("m"), F.col("node").alias("v"), F.col("comp").alias("v_comp"), "top", F.col("c").alias("v_c"))
+    pairs = others.join(every, ["bucket", "m"]).where("u_comp != v_comp and (v_comp = top or u < v) and 7 * v_c >= 3 * (m + u_n)")
     return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))

@@ -3,8 +3,8 @@
 1. On each page every container is scored by the text of the blocks right
    below it (half for those one level further down), less link text, and the
    page votes for the generalised tag-class path of its best container.
-2. Spark adds up the votes per host and path and keeps each host's leading
-   paths.
+2. Spark adds up the votes per host and path; a path wins with a fifth of its
+   host's votes.
 3. Every page is read again: of its host's winning paths that it has, the one
    with the most text gives the result; a page with none of them falls back to
    its own best container.
@@ -22,13 +22,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .spread import stage
 
 DEPTH = 12  # a path names so many elements at most, the innermost ones
-PATHS = 8  # leading paths kept per host; pages with none of them use their own
+SHARE = 5  # a path wins with one in so many of its host's votes, so a host has at most so many
 BROADCAST_BYTES = 16_000_000
 
 # Fixed values of HTML and of common page furniture.
@@ -211,13 +211,13 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def host_paths(pages: DataFrame, source: str = "html", url: str = "url") -> DataFrame:
-    """(_host, _paths): the leading paths of every host, most votes first."""
+    """(_host, _paths): the winning paths of every host."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), _HOST, 1))
     votes = pages.select(host.alias("_host"), F.col(source).alias("_html")).mapInArrow(_votes, "_host string, path string, votes long")
-    votes = votes.groupBy("_host", "path").agg(F.sum("votes").alias("votes"))
-    order = Window.partitionBy("_host").orderBy(F.desc("votes"), "path")
-    leading = votes.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PATHS)
-    return leading.groupBy("_host").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("_paths"))
+    votes = stage(votes.groupBy("_host", "path").agg(F.sum("votes").alias("votes")), "votes")
+    total = votes.groupBy("_host").agg(F.sum("votes").alias("total"))
+    winning = votes.join(total, "_host").where(SHARE * F.col("votes") >= F.col("total"))
+    return winning.groupBy("_host").agg(F.array_sort(F.collect_list("path")).alias("_paths"))
 
 
 def extract(pages: DataFrame, source: str = "html", url: str = "url", carry: list[str] | None = None) -> DataFrame:

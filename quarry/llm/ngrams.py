@@ -130,7 +130,7 @@ def _shard(table: pa.Table) -> pa.Table:
         Trie.build(c[known], w[known], np.log10(n[known] - DISCOUNT)).save(path)
         value = Trie.load(path).lookup(c, w)
     seen = ~np.isnan(value[pair])
-    sums = np.bincount(owner[seen], value[pair[seen]], len(keys))
+    sums = np.bincount(owner[seen], value[pair[seen]], len(keys)).astype(float)
     followed, followers = np.unique(c[known], return_counts=True)
     parts = [(0, keys, None, np.bincount(owner, minlength=len(keys)), sums), (1, None, followed, followers, None)]
     lost = np.flatnonzero(~seen)

@@ -165,9 +165,9 @@ def _counter(frequent, total: int, kinds: int):
                 common = words[at] == token if len(words) else np.zeros(len(token), bool)
                 c = counts[at[common]] if len(words) else np.zeros(0)
                 mine = own[common]
-                base = np.bincount(mine, np.log10((c + 1) / (total + kinds + 1)), texts)
+                base = np.bincount(mine, np.log10((c + 1) / (total + kinds + 1)), texts).astype(float)
                 follows = token[common] != END  # every token but the end is the context of one token
-                score = -np.bincount(mine[follows], np.log10(c[follows]), texts)
+                score = -np.bincount(mine[follows], np.log10(c[follows]), texts).astype(float)
                 none = np.zeros(texts, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[b.first:b.first + texts]), pa.array(none), pa.array(np.bincount(own, minlength=texts).astype(np.int64)),

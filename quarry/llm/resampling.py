@@ -90,7 +90,7 @@ def _scorer(table):
                 np.minimum.at(lowest, own[one], w[grams[one]])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(b.first, n), pa.array(np.bincount(own, minlength=n).astype(np.int64)),
-                     pa.array(np.bincount(own, w[grams], n)), pa.array(lowest)], ["_row", "n_grams", "log_ratio", "lowest"])
+                     pa.array(np.bincount(own, w[grams], n).astype(float)), pa.array(lowest)], ["_row", "n_grams", "log_ratio", "lowest"])
 
     return run
 

@@ -33,12 +33,6 @@ ANALYZER_STOPWORDS = (
 # Section headings that open a plot section in article HTML.
 PLOT_HEADINGS = ("plot", "synopsis", "premise", "plot summary")
 
-# Relevance grade scale of judgments.
-GRADES = (0, 1, 2)
-
-# Request words removed from information needs in the "clean query" trial.
-REQUEST_WORDS_PATTERN = r"(?i)\b(want|films?|movies?|reviewers?)\b"
-
 # Word-token pattern of the analyzer (letters, digits, underscore; inner
 # apostrophe or period keeps a token together).
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
@@ -46,12 +40,6 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
 # Word pattern of the corpus term-frequency profile (ASCII letters and ').
 PROFILE_WORD_PATTERN = r"[a-z']+"
 
-# Footnote markers such as [1] or [a].
-FOOTNOTE_PATTERN = r"\[(?:\d+|[a-z])\]"
-
-# Date prefix YYYY-MM-DD.
-DATE_PREFIX_PATTERN = r"^\d{4}-\d{2}-\d{2}"
-
 # Multi-letter folds that a one-to-one translate cannot express.
 MULTI_FOLDS = (("ß", "ss"), ("æ", "ae"), ("œ", "oe"))
 

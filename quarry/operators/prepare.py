@@ -7,9 +7,9 @@ Scale notes
   map-side: a key holding a third of the rows ships one row per map task.
 * Positions inside a group (``positional_index``) do not use a window
   partitioned by the group key (one task per key). Rows are range-
-  partitioned on (key, order), numbered inside each partition, and a small
-  per-(key, partition) count table provides the offset of each slice, so a
-  hot key is spread over many tasks.
+  partitioned on (key, order), numbered inside each partition and written
+  once; a small per-(key, partition) count table of that copy provides the
+  offset of each slice, so a hot key is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import stage
+
 
 def first_wins(df: DataFrame, key: Sequence[str] | str, order: Sequence[str] | str,
                keep: Sequence[str] | None = None, last: bool = False) -> DataFrame:
@@ -43,7 +45,10 @@ def positional_index(df: DataFrame, key: Sequence[str] | str, order: Sequence[st
     """Add a 0-based position of each row inside its key group, following
     ``order`` (which must be unique within a key).
 
-    Skew-safe: no single task ever holds a whole group (see module doc).
+    Skew-safe: no single task ever holds a whole group (see module doc). The
+    numbered rows are written once and both the slice counts and the positions
+    are taken from that copy: a second evaluation of the range exchange may
+    choose other bounds. Null keys form a group of their own.
     """
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
@@ -55,16 +60,19 @@ def positional_index(df: DataFrame, key: Sequence[str] | str, order: Sequence[st
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    ranged = stage(ranged, "ranged")
     # One row per (key, partition slice): rows per slice and its first id.
     slices = ranged.groupBy(*key, "_pid").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
     )
     w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = ranged.join(slices.select(*key, "_pid", "_first", "_off"), key + ["_pid"])
-    return out.withColumn(pos_col, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("int")).drop(
-        "_pid", "_mid", "_first", "_off"
-    )
+    slices = slices.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], F.col("_pid").alias("_slice"), "_first", "_off")
+    same = ranged["_pid"] == slices["_slice"]
+    for i, k in enumerate(key):
+        same = same & ranged[k].eqNullSafe(slices[f"_k{i}"])
+    out = ranged.join(slices, same)
+    return out.select(*[ranged[c] for c in df.columns], (F.col("_off") + F.col("_mid") - F.col("_first")).alias(pos_col))
 
 
 def first_occurrence_distinct(df: DataFrame, key: Sequence[str] | str, value: str,

@@ -17,7 +17,7 @@ from .retrieval import _run_columns, corpus_index
 # reference's own maps are movie-specific and are passed the same way).
 TYPOS = {"the": "teh", "and": "adn", "with": "wiht", "that": "taht"}
 EXPANSIONS = {"with": "alongside together", "that": "which"}
-REQUEST_WORDS = ("want", "films?", "movies?", "reviewers?")
+REQUEST_WORDS = ("this", "that", "from", "are")  # words that the needs hold
 GRAM_WEIGHT = 0.1
 
 # ASCII word boundaries written out, so Java and RE2 agree on non-ASCII text.

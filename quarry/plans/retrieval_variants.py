@@ -82,34 +82,34 @@ def bm25_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_columns(SR.top_k(SR.bm25(t.documents, "doc_id", "text", needs(t), keep=_doc_filter())))
 
 
-def _first_phrase_docs(t: Tables) -> DataFrame:
-    bg = SR.query_bigrams(needs(t)).filter(F.col("idx") == 0)
+def _phrase_docs(t: Tables) -> DataFrame:
+    bg = SR.query_bigrams(needs(t))
     return SR.phrase_occurrences(None, bg, 0, positions=corpus_positions(t, "text")).select("qid", "doc").distinct()
 
 
 @register(
     "phrase_filter",
-    f"WITH bg AS ({BIGRAMS_SQL}), bg0 AS (SELECT * FROM bg WHERE idx = 0), {_occ_sql('bg0', 0)} "
+    f"WITH bg AS ({BIGRAMS_SQL}), {_occ_sql('bg', 0)} "
     "SELECT DISTINCT qid, doc AS doc_id FROM occ",
 )
 def phrase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PF10 + IR2 + IR8: documents containing each need's first word pair
+    """PF10 + PF11 + IR2 + IR8: documents containing any of a need's word pairs
     as a phrase (the position gap of a removed stopword is kept)."""
-    return _first_phrase_docs(Tables(spark, sf_dir)).select("qid", F.col("doc").alias("doc_id"))
+    return _phrase_docs(Tables(spark, sf_dir)).select("qid", F.col("doc").alias("doc_id"))
 
 
 @register(
     "negated_phrase",
-    A_SQL + f", bg AS ({BIGRAMS_SQL}), bg0 AS (SELECT * FROM bg WHERE idx = 0), {_occ_sql('bg0', 0)}, "
+    A_SQL + f", bg AS ({BIGRAMS_SQL}), {_occ_sql('bg', 0)}, "
     "n_scored AS (SELECT * FROM a_scored s WHERE NOT EXISTS (SELECT 1 FROM occ WHERE occ.qid = s.qid AND occ.doc = s.doc)), "
     + B.ranked_sql("n_scored", p="n_") + " " + B.RUN_SELECT.format(p="n_"),
 )
 def negated_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PF12: ranking without documents containing the need's first phrase
+    """PF12: ranking without documents containing any of the need's phrases
     (left anti on (qid, doc))."""
     t = Tables(spark, sf_dir)
     scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))
-    return _run_columns(SR.top_k(scored.join(_first_phrase_docs(t), ["qid", "doc"], "left_anti")))
+    return _run_columns(SR.top_k(scored.join(_phrase_docs(t), ["qid", "doc"], "left_anti")))
 
 
 @register(

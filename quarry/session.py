@@ -38,10 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is left alone.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only when it is unset and Spark runs locally a scratch folder is created;
+    elsewhere a machine-local folder would be lost to the other machines.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

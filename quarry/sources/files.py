@@ -79,10 +79,10 @@ def read_trec_run(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_run(spark: SparkSession, path: str) -> DataFrame:
-    """SC7: per-query JSON result files (``qid``, ``results[]``); rank
+    """SC7: per-query JSON results, one record a line (``qid``, ``results[]``); rank
     defaults to the position, a null score to 0."""
     schema = "qid string, results array<struct<rank:int, movie_id:string, score:double>>"
-    raw = spark.read.option("multiLine", True).schema(schema).json(path)
+    raw = spark.read.schema(schema).json(path)
     ex = raw.select("qid", F.posexplode("results").alias("pos", "r"))
     return ex.select(
         "qid", F.col("r.movie_id").alias("doc"),
@@ -93,7 +93,12 @@ def read_json_run(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve_run(trec: DataFrame, json_run: DataFrame) -> DataFrame:
     """SC8: prefer the TREC rows; queries absent there (zero-hit queries are
-    not written to TREC files) come from the JSON run."""
+    not written to TREC files) come from the JSON run. A (qid, doc) that both
+    hold with different ranks fails the job when the result is read."""
+    other = json_run.select("qid", "doc", F.col("rank").alias("_rank"))
+    clash = F.col("_rank").isNotNull() & (F.col("_rank") != F.col("rank"))
+    trec = trec.join(other, ["qid", "doc"], "left").select(
+        "qid", "doc", F.when(clash, F.raise_error(F.concat(F.lit("runs disagree on "), "qid", F.lit(" "), "doc"))).otherwise(F.col("rank")).alias("rank"), "score")
     missing = json_run.join(trec.select("qid").distinct(), "qid", "left_anti")
     return trec.select("qid", "doc", "rank", "score").unionByName(missing.select("qid", "doc", "rank", "score"))
 
@@ -131,8 +136,12 @@ def write_trec_qrels(qrels: DataFrame, path: str) -> None:
 
 
 def write_run_json(run: DataFrame, path: str) -> None:
-    """SC14: one JSON folder per need (partitioned by qid)."""
-    run.write.mode("overwrite").partitionBy("qid").json(path)
+    """SC14: one JSON record per need, ``{qid, results: [{rank, movie_id,
+    score}, ...]}`` in rank order, as ``read_json_run`` reads them. A need's
+    results are as many as the run's depth."""
+    item = F.struct("rank", F.col("doc").cast("string").alias("movie_id"), "score")
+    needs = run.groupBy(F.col("qid").cast("string").alias("qid")).agg(F.array_sort(F.collect_list(item)).alias("results"))
+    needs.write.mode("overwrite").json(path)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:

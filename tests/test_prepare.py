@@ -43,3 +43,22 @@ def test_nested_and_joined_list(spark):
     nested = P.nested_list(df, "k", "o", ["name", "detail"])
     out = {r.k: r.s for r in nested.select("k", P.joined_list(F.col("items"), "name", "detail").alias("s")).collect()}
     assert out == {1: "A (x); B", 2: "C (y)"}
+
+
+def test_positions_with_payload_and_without_exchange_reuse(spark):
+    from pyspark.sql import Window
+
+    from quarry.operators.prepare import positional_index
+
+    rows = spark.range(120_000).selectExpr(
+        "if(id % 3 = 0, 0, id % 500) as k", "xxhash64(id) as o", "id as payload", "concat('x', id) as more").unionByName(
+        spark.createDataFrame([(None, 2, -1, None), (None, 1, -2, None)], "k long, o long, payload long, more string"))
+    want = rows.withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("o")) - 1).select("payload", "want")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = positional_index(rows, "k", "o")
+        assert got.columns == [*rows.columns, "pos"] and dict(got.dtypes)["pos"] == "bigint"
+        joined = got.join(want, "payload")
+        assert joined.count() == 120_002 and joined.where("pos != want").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -38,8 +38,8 @@ from .eliasfano import Trie
 from .spread import stage
 
 DISCOUNT = 0.8
-SHARD_TOKENS = 1_500_000
-FREQUENT = 20_000
+SHARD_TOKENS = 2_500_000
+FREQUENT = 200_000
 PACK_BYTES = 8_000_000  # text of one row of packed pairs
 
 END, BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0x0FEDCBA987654321)
@@ -148,12 +148,13 @@ def _shard(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches(batches)
 
 
-_TERMS = "key long, word long, n long, n_known long, base double, score double"
+_TERMS = "key long, word long, joined boolean, n long, n_known long, base double, score double"
 
 
 def _counter(frequent, total: int, kinds: int):
-    """Rows per text: one with the terms of its frequent words, and one for
-    each other word with its count, whose terms come from a join."""
+    """Rows per text: one with the terms of its frequent words (its word is an
+    arbitrary value that spreads such rows), and one for each other word with
+    its count, whose terms come from a join."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = frequent.value
         for batch in batches:
@@ -168,9 +169,9 @@ def _counter(frequent, total: int, kinds: int):
                 base = np.bincount(mine, np.log10((c + 1) / (total + kinds + 1)), texts).astype(float)
                 follows = token[common] != END  # every token but the end is the context of one token
                 score = -np.bincount(mine[follows], np.log10(c[follows]), texts).astype(float)
-                none = np.zeros(texts, np.int64)
+                own_keys = keys[b.first:b.first + texts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[b.first:b.first + texts]), pa.array(none), pa.array(np.bincount(own, minlength=texts).astype(np.int64)),
+                    [pa.array(own_keys), pa.array(own_keys), pa.array(np.zeros(texts, bool)), pa.array(np.bincount(own, minlength=texts).astype(np.int64)),
                      pa.array(np.bincount(mine, minlength=texts).astype(np.int64)), pa.array(base), pa.array(score)],
                     [x.split()[0] for x in _TERMS.split(", ")])
                 rare = np.flatnonzero(~common)
@@ -179,7 +180,7 @@ def _counter(frequent, total: int, kinds: int):
                 n = np.diff(np.append(first, len(rare)))
                 some = np.zeros(len(first))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[b.first + own[rare[first]]]), _signed(token[rare[first]]), pa.array(n), pa.array(np.zeros(len(first), np.int64)), pa.array(some), pa.array(some)],
+                    [pa.array(keys[b.first + own[rare[first]]]), _signed(token[rare[first]]), pa.array(np.ones(len(first), bool)), pa.array(n), pa.array(np.zeros(len(first), np.int64)), pa.array(some), pa.array(some)],
                     [x.split()[0] for x in _TERMS.split(", ")])
 
     return run
@@ -220,20 +221,21 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     frequent = unigrams.where(F.col("n") * FREQUENT > total).toPandas()
     frequent = frequent.assign(word=frequent["word"].to_numpy(np.int64).view(np.uint64)).sort_values("word")
     shared = spark.sparkContext.broadcast((frequent["word"].to_numpy(np.uint64), frequent["n"].to_numpy(float)))
-    terms = stage(rows.select("_key", "_text").mapInArrow(_counter(shared, total, kinds), _TERMS), "terms")
+    terms = rows.select("_key", "_text").mapInArrow(_counter(shared, total, kinds), _TERMS)
     n, c = F.col("n"), F.coalesce(F.col("c"), F.lit(0))
     p = F.log10((c + 1) / F.lit(float(total + kinds + 1)))
     zero = F.lit(0).cast("long")
-    whole = terms.where("word = 0").select("key", F.col("n").alias("n_tokens"), "n_known", "base", "score")
-    rare = terms.where("word != 0").select("key", "word", "n").join(unigrams.select("word", F.col("n").alias("c")), "word", "left").select(
-        "key", zero.alias("n_tokens"), F.when(c > 0, n).otherwise(zero).alias("n_known"), (n * p).alias("base"),
-        F.when((c > 0) & (F.col("word") != end), -n * F.log10(F.greatest(c, F.lit(1)))).otherwise(0.0).alias("score"))
+    counted = terms.join(unigrams.select("word", F.col("n").alias("c")), "word", "left").select(
+        "key", F.when(F.col("joined"), zero).otherwise(n).alias("n_tokens"),
+        F.when(~F.col("joined"), F.col("n_known")).when(c > 0, n).otherwise(zero).alias("n_known"),
+        F.when(F.col("joined"), n * p).otherwise(F.col("base")).alias("base"),
+        F.when(~F.col("joined"), F.col("score")).when((c > 0) & (F.col("word") != end), -n * F.log10(F.greatest(c, F.lit(1)))).otherwise(0.0).alias("score"))
     seen = found.where("kind = 0").select("key", zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), F.col("value").alias("score"))
     lost = found.where("kind > 1").select("kind", "key", "word", "n").join(model, "word", "left")
     followers = F.coalesce(F.col("followers"), F.lit(0))
     lost = lost.select("key", zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), F.when(
         F.col("kind") == 3, n * p).when(followers > 0, n * F.log10(DISCOUNT * followers)).otherwise(0.0).alias("score"))
-    sums = whole.unionByName(rare).unionByName(seen).unionByName(lost).groupBy("key").agg(
+    sums = counted.unionByName(seen).unionByName(lost).groupBy("key").agg(
         *[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")])
 
     starts = trained.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # count of the begin as a context

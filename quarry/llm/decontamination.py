@@ -15,7 +15,6 @@ over written intermediate tables.
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import re
 from collections.abc import Iterator
@@ -156,8 +155,3 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         else:
             frame = stage(frame.mapInArrow(_scanner(part, False), f"_row {kind}, _text string, flags binary, items array<string>"), "scanned")
     return frame.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
-
-
-def items_digest(items: list[str]) -> str:
-    """SHA-256 of the comma-joined sorted ids, as the query states it."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

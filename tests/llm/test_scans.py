@@ -1,5 +1,3 @@
-import hashlib
-
 from quarry.llm import decontamination, licenses
 
 
@@ -35,9 +33,6 @@ def test_contamination_equals_brute_force(spark, docs_of, prose, monkeypatch):
     assert not decontamination.find(docs_of(rows), benchmark.limit(0)).where("contaminated").collect()
 
 
-def test_digest():
-    assert decontamination.items_digest(["9", "10"]) == hashlib.sha256(b"10,9").hexdigest()
-
 
 def test_licenses(docs_of, prose):
     mit = licenses.TEMPLATES["MIT"]

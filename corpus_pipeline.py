@@ -44,16 +44,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group: the one with the
     smallest id, once if its row is repeated. Documents without an id are kept
-    once for each text that has no other member with an id."""
-    found = setsketch.near_duplicates(docs.select("doc_id", "text"))
-    dropped = stage(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    kept = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["doc_id"]), "left_anti")
-    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = stage(repeated, "repeated")
-    if repeated.isEmpty():
-        return kept
-    again = docs["doc_id"].eqNullSafe(repeated["doc_id"])
-    return kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
+    once for each text that has no other member with an id. An id with several
+    texts stands for each of them on its own."""
+    heads = setsketch.representatives(docs.select("doc_id", "text"))
+    heads = stage(heads.select(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"), F.col("rows").alias("_rows")), "heads")
+    same = docs["doc_id"].eqNullSafe(heads["_doc"]) & (F.xxhash64(docs["text"]) == heads["_digest"])
+    kept = docs.join(heads, same).drop("_doc")
+    if heads.where("_rows > 1").isEmpty():
+        return kept.select(docs.columns)
+    again = kept.where("_rows > 1").dropDuplicates(["doc_id", "_digest"])
+    return kept.where("_rows = 1").unionByName(again).select(docs.columns)
 
 
 def decontamination_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

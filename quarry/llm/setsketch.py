@@ -201,6 +201,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     take part; their component_id is null only when no member has a key. An
     empty table gives an empty result; other columns are ignored.
     """
+    found = _labelled(docs, key, text)
+    out = found.select("doc", "n_shingles", "component_id", F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.withColumnRenamed("doc", key)
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc, digest (xxhash64 of the text) and rows: one key and text for each
+    component, with the number of rows that have both. It is the one with the
+    smallest key, without a key only when no member has one, and of several
+    texts of that key the one with the smallest digest. Texts without words
+    stand for themselves, once for each key and text.
+    """
+    found = _labelled(docs, key, text).groupBy("comp", "doc", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    found = stage(found, "keyed")
+    least = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "digest", "rows")).alias("least")
+    full = found.where("comp is not null").groupBy("comp").agg(least).select("least.doc", "least.digest", "least.rows")
+    return full.unionByName(found.where("comp is null").select("doc", "digest", "rows"))
+
+
+def _labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc, digest, n_shingles, comp and component_id of every row; comp tells
+    components apart and is null for texts without words."""
     sketch = stage(sketches(docs, key, text), "sketches")
     full = sketch.where("n_shingles > 0")
     nodes = stage(full.groupBy("set_key").agg(
@@ -211,11 +233,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     named = nodes.join(components, "node", "left").select("set_key", "least_doc", F.coalesce("comp", "node").alias("comp"))
     named = stage(named, "named")
     smallest = stage(named.groupBy("comp").agg(F.min("least_doc").alias("component_id")), "smallest")
-    named = stage(named.join(smallest, "comp").select("set_key", "component_id"), "named")
-    full = full.select("doc", "n_shingles", "set_key").join(named, "set_key").select("doc", "n_shingles", "component_id")
-    none = sketch.where("n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component_id"))
-    out = full.unionByName(none).withColumn("kept", F.col("doc").eqNullSafe(F.col("component_id")))
-    return out.withColumnRenamed("doc", key)
+    named = stage(named.join(smallest, "comp").select("set_key", "comp", "component_id"), "named")
+    full = full.join(named, "set_key").select("doc", "digest", "n_shingles", "comp", "component_id")
+    none = sketch.where("n_shingles = 0").select("doc", "digest", "n_shingles", F.lit(None).cast("long").alias("comp"), F.col("doc").alias("component_id"))
+    return full.unionByName(none)
 
 
 def _node_components(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:

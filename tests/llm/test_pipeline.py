@@ -38,3 +38,22 @@ def test_stages_keep_clean_documents_and_drop_the_others(spark, docs_of, prose,
         at = step(spark, at, str(tmp_path))
         assert at.columns == docs.columns
     assert language.UNKNOWN == "und"
+
+
+def test_near_dedup_decides_by_id_and_text(spark, prose):
+    a, b, c, d, e, f, g, h, k = (prose(900 + i, 60) for i in range(9))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (None, c + " tail"),  # null ids: a copy, two texts, near copies
+            (2, d), (5, d), (5, e),  # an id with a copy and a unique text
+            (6, f), (6, g), (6, g),  # an id with two unique texts, one repeated
+            (7, h), (7, h + " end"), (8, k), (8, k),
+            (None, None), (None, None), (None, ""), (9, None), (9, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    out = corpus_pipeline.near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    one_of = lambda i, *texts: [(j, t) for j, t in got if j == i and t in texts]
+    near = one_of(None, c, c + " tail") + one_of(7, h, h + " end")
+    assert [i for i, _ in near] == [None, 7]
+    want = [(1, a), (None, b), (2, d), (5, e), (6, f), (6, g), (8, k), (None, None), (None, ""), (9, None), (9, "")]
+    assert sorted(map(repr, got)) == sorted(map(repr, want + near))
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").collect() == []

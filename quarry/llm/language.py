@@ -28,20 +28,36 @@ LEAST_SCRIPT = 0.01  # a language uses a script that so many of its words have
 UNKNOWN = "und"
 
 # First code points of script blocks, in ascending order, and
-# the script that begins there ("" for none).
+# the script that begins there ("" for none). Letters in a range of none, such
+# as those of rarer scripts, have the script "Other".
 SCRIPTS = (
     (0x41, "Latin"), (0x5B, ""), (0x61, "Latin"), (0x7B, ""), (0xAA, "Latin"), (0xAB, ""), (0xB5, "Latin"), (0xB6, ""),
     (0xBA, "Latin"), (0xBB, ""), (0xC0, "Latin"), (0xD7, ""), (0xD8, "Latin"), (0xF7, ""), (0xF8, "Latin"),
     (0x2B0, ""), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armenian"), (0x590, "Hebrew"), (0x600, "Arabic"),
-    (0x700, ""), (0x900, "Devanagari"), (0x980, "Bengali"), (0xA00, ""), (0xB80, "Tamil"), (0xC00, "Telugu"),
-    (0xC80, ""), (0xE00, "Thai"), (0xE80, ""), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"),
-    (0x1380, ""), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, ""), (0x3040, "Kana"), (0x3100, ""),
+    (0x700, "Syriac"), (0x750, "Arabic"), (0x780, "Thaana"), (0x7C0, "Nko"), (0x800, ""), (0x8A0, "Arabic"), (0x900, "Devanagari"),
+    (0x980, "Bengali"), (0xA00, "Gurmukhi"), (0xA80, "Gujarati"), (0xB00, "Oriya"), (0xB80, "Tamil"), (0xC00, "Telugu"),
+    (0xC80, "Kannada"), (0xD00, "Malayalam"), (0xD80, "Sinhala"), (0xE00, "Thai"), (0xE80, "Lao"), (0xF00, "Tibetan"),
+    (0x1000, "Myanmar"), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"), (0x13A0, "Cherokee"),
+    (0x1400, "Canadian"), (0x1680, ""), (0x1780, "Khmer"), (0x1800, "Mongolian"), (0x18B0, "Canadian"), (0x1900, ""),
+    (0x1C90, "Georgian"), (0x1CC0, ""), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, ""), (0x3040, "Kana"), (0x3100, ""),
     (0x3400, "Han"), (0x4DC0, ""), (0x4E00, "Han"), (0xA000, ""), (0xAC00, "Hangul"), (0xD7B0, ""),
     (0xF900, "Han"), (0xFB00, ""), (0x20000, "Han"), (0x323B0, ""),
 )
-_STARTS = np.array([s for s, _ in SCRIPTS])
-SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})  # index 0 is no script
-_SCRIPT = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS])
+OTHER = "Other"
+SCRIPT_NAMES = sorted({name for _, name in SCRIPTS} | {OTHER})  # index 0 is no script
+
+
+def _scripts_of_points() -> np.ndarray:
+    """Index of the script of every code point."""
+    starts = [0, *(s for s, _ in SCRIPTS), 0x110000]
+    out = np.repeat(np.array([0, *(SCRIPT_NAMES.index(name) for _, name in SCRIPTS)], np.uint8), np.diff(starts))
+    none = np.flatnonzero(out == 0)
+    letters = np.fromiter((chr(p).isalpha() for p in none.tolist()), bool, len(none))
+    out[none[letters]] = SCRIPT_NAMES.index(OTHER)
+    return out
+
+
+_SCRIPT = _scripts_of_points()
 
 
 def _word_scripts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -53,8 +69,7 @@ def _word_scripts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     point = np.select([first < 0x80, first < 0xE0, first < 0xF0],
                       [first, (first & 0x1F) << 6 | b1, (first & 0x0F) << 12 | b1 << 6 | b2],
                       (first & 0x07) << 18 | b1 << 12 | b2 << 6 | b3)
-    at = np.searchsorted(_STARTS, point, "right") - 1
-    script = np.where(at < 0, 0, _SCRIPT[at])
+    script = _SCRIPT[point]
     letters = np.flatnonzero(script)
     where, script = lead[letters], script[letters]
     i = np.searchsorted(where, start)

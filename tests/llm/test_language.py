@@ -42,3 +42,25 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang")
     rows = found.where("held_out").join(truth, "doc_id").where("lang is not null").select("lang", "lang_pred").collect()
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows)
+
+
+def test_every_letter_has_a_script(spark, docs_of, prose, tmp_path):
+    import corpus_pipeline
+
+    letters = [chr(p) for p in range(0x110000) if chr(p).isalpha()]
+    data = np.frombuffer("".join(letters).encode(), np.uint8)
+    ends = np.cumsum([len(c.encode()) for c in letters])
+    assert language._word_scripts(data, np.append(0, ends[:-1]), ends).all()
+
+    kinds = {"gu": "અઆઇઈઉઊએઐ", "km": "កខគឃងចឆជ", "my": "ကခဂဃငစဆဇ", "vai": "ꔀꔁꔂꔃꔄꔅꔆꔇ"}
+    names = ["aa", *kinds]
+    rows = [(100 * k + i, prose(100 * k + i, 60, kinds.get(x, "abcdefgh")), x) for k, x in enumerate(names) for i in range(8)]
+    new = [(1000 + k, prose(1000 + k, 40, kinds[x]), None) for k, x in enumerate(kinds)]
+    docs = docs_of(rows + new)
+    got = {r.doc_id: (r.lang, r.score) for r in language.identify(docs, language.learn(docs)).select("_row.doc_id", "lang", "score").collect()}
+    assert all(got[i] == (x, 1.0) for i, _, x in rows)
+    assert [got[1000 + k] for k in range(len(kinds))] == [(x, 1.0) for x in kinds]
+    mixed = prose(5, 10) + " " + prose(6, 30, kinds["gu"])
+    spans = language.identify(docs_of([(1, mixed)]), language.learn(docs)).first()["spans"]
+    assert [s["lang"] for s in spans] == ["aa", "gu"]
+    assert corpus_pipeline.language_id(spark, docs, str(tmp_path)).count() == len(rows + new)

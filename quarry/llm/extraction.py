@@ -10,8 +10,9 @@
    its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments are left out by element, role or class name wherever they
-lie. Character references are decoded, white space inside a block becomes one
+and reader comments are left out by element, role or name wherever they lie. A
+name is a whole class or id of a container; it never drops an element around
+the page's longest article or best container. Character references are decoded, white space inside a block becomes one
 space and blocks are joined by line feeds in page order.
 """
 
@@ -46,7 +47,19 @@ NAMES = frozenset(
     "consent cookie cookies disqus footer footnav gdpr header login masthead menu modal nav navbar navigation newsletter "
     "notice notices notification overlay pager pagination popup promo promoted related replies respond search share sharing "
     "shoutbox sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget widgets".split())
-KEPT = frozenset("html body main article".split())  # never dropped by a class name
+COMPOUNDS = frozenset(
+    "ad-banner ad-block ad-box ad-container ad-slot ad-unit ad-wrapper google-ad bottom-bar breadcrumb-nav comment-form comment-list "
+    "comments-area comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice cookie-popup cookie-policy "
+    "footer-links footer-menu footer-nav gdpr-banner header-nav left-sidebar login-form main-menu main-nav main-navigation "
+    "mobile-menu mobile-nav nav-bar nav-links nav-menu newsletter-signup page-footer page-header page-navigation post-navigation "
+    "primary-menu primary-nav primary-sidebar reader-comments related-articles related-links related-posts related-stories "
+    "right-sidebar search-bar search-box search-form secondary-sidebar share-bar share-buttons sharing-buttons side-bar "
+    "sidebar-left sidebar-right sidebar-primary sidebar-secondary site-footer site-header site-nav site-navigation skip-link "
+    "social-buttons social-icons social-links social-share top-bar top-menu top-nav user-comments widget-area".split())
+NAMED = frozenset("center dd details div dl dt fieldset li ol section table td ul".split())  # containers dropped by name
+REPLIES = frozenset(
+    "comment comments commentlist comment-list comments-area comments-list comments-section disqus reader-comments replies respond "
+    "user-comments".split())  # these have texts and articles of their own
 MAIN = frozenset("article main".split())
 CLOSES = {  # a start tag that ends an open element of these, up to the barrier
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -68,7 +81,10 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []  # element, text, link characters
         self._stack, self._buffer, self._links = [0], [], 0
         self._count: dict[str, int] = {}  # open elements by tag
+        self._named: dict[int, bool] = {}  # elements to drop by name, and whether they hold replies
         self._read(source)
+        if self._named:
+            self._drop_named()
 
     def _flush(self) -> None:
         if self._buffer:
@@ -112,10 +128,14 @@ class Page:
         own = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
         inside = any(self._count.get(t) for t in MAIN)
         if not dropped:
-            names = set(re.split(r"[\s_\-]+", f"{own.get('class', '')} {own.get('id', '')}".lower()))
-            dropped = (
-                tag in FURNITURE or tag == "header" and not inside or "hidden" in own or own.get("role", "").lower() in ROLES
-                or tag not in KEPT and not NAMES.isdisjoint(names))
+            dropped = tag in FURNITURE or tag == "header" and not inside or "hidden" in own or own.get("role", "").lower() in ROLES
+            if tag in NAMED and not dropped and ("class" in own or "id" in own):
+                names = f"{own.get('class', '')} {own.get('id', '')}".lower().replace("_", "-").split()
+                names = {x for x in names if x in NAMES or x in COMPOUNDS}
+                if inside:
+                    names -= {"header", "page-header"}
+                if names:
+                    self._named[len(self.elements)] = not REPLIES.isdisjoint(names)
         name = ".".join([tag, *sorted(re.sub(r"\d+", "#", own.get("class", "")).split())])
         if tag in BLOCK:
             path = "/".join(["", *path.split("/")[1:][1 - DEPTH:], name])
@@ -146,16 +166,50 @@ class Page:
         self._text(source[at:])
         self._flush()
 
+    def _above(self, element: int) -> Iterator[int]:
+        while element > 0:
+            yield element
+            element = self.elements[element][0]
+
+    def _drop_named(self) -> None:
+        """Drop the blocks below named elements, but for those that hold the
+        longest article or main or, further down, the best container. What
+        lies in readers' replies is neither unless there is nothing else."""
+        replies = self._below({e for e, holds in self._named.items() if holds})
+        texts = [b for b in self.blocks if not replies[b[0]]] or self.blocks
+        size = [0] * len(self.elements)
+        for element, text, _ in texts:
+            size[element] += len(text)
+        for e in range(len(size) - 1, 0, -1):
+            size[self.elements[e][0]] += size[e]
+        articles = [e for e in range(1, len(size)) if size[e] and self.elements[e][2] in MAIN]
+        kept: set[int] = set()
+        if articles:
+            kept.update(self._above(max(articles, key=lambda e: (size[e], -e))))
+        worth = self._worth(texts)
+        if worth and max(worth.values()) > 0:
+            best = max(worth, key=lambda e: (worth[e], -e))
+            kept.update(self._above(self.elements[best][0]))
+        gone = self._below(self._named.keys() - kept)
+        self.blocks = [b for b in self.blocks if not gone[b[0]]]
+
+    def _below(self, roots: set[int]) -> list[bool]:
+        """Whether each element is or is below one of the roots."""
+        out = [False] * len(self.elements)
+        for e in range(1, len(out)):
+            out[e] = e in roots or out[self.elements[e][0]]
+        return out
+
     def _holder(self, element: int) -> int:
         """The nearest block element that is or is above an element."""
         while element > 0 and self.elements[element][2] not in BLOCK:
             element = self.elements[element][0]
         return element
 
-    def scores(self) -> dict[str, float]:
-        """Text by path: a paragraph counts for the container above it."""
-        out: dict[str, float] = {}
-        for element, text, links in self.blocks:
+    def _worth(self, blocks: list[tuple[int, str, int]]) -> dict[int, float]:
+        """Text by container: a paragraph counts for the container above it."""
+        out: dict[int, float] = {}
+        for element, text, links in blocks:
             worth = len(text) - 2 * links
             at = self._holder(element)
             if self.elements[at][2] not in ("div", "section", "body", "html", "") and self.elements[at][2] not in MAIN:
@@ -163,11 +217,18 @@ class Page:
             for share in (1.0, 0.5):
                 if at <= 0:
                     break
-                _, path, tag, _ = self.elements[at]
-                out[path] = out.get(path, 0.0) + worth * share * (1.5 if tag in MAIN else 1.0)
+                out[at] = out.get(at, 0.0) + worth * share * (1.5 if self.elements[at][2] in MAIN else 1.0)
                 at = self._holder(self.elements[at][0])
         return out
 
+    def scores(self) -> dict[str, float]:
+        """Text by path of its container."""
+        out: dict[str, float] = {}
+        for at, worth in self._worth(self.blocks).items():
+            path = self.elements[at][1]
+            out[path] = out.get(path, 0.0) + worth
+        return out
+
     def best(self) -> str | None:
         """Path of the container with the highest score above 0."""
         found = {p: s for p, s in self.scores().items() if s > 0}

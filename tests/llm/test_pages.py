@@ -21,6 +21,27 @@ def test_main_text(source, text):
     assert extraction.main_text(source) == text
 
 
+LONG = "A sentence of the article with some length. " * 4
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<div class='content-sidebar-wrap'>", "</div>"), ("<div id='page' class='has-sidebar'>", "</div>"), ("<div class='post no-comments'>", "</div>"),
+    ("<div class='widget'><section id='search'>", "</section></div>"), ("<div class='social'><div class='inner'>", "</div></div>"),
+])
+def test_wrappers_with_furniture_names_keep_the_article(start, end):
+    for inner in ("article", "main", "div"):
+        page = f"<body><div class='sidebar'><p>Side text.</p></div>{start}<{inner}><p>{LONG}</p></{inner}>{end}<div class='legal'><p>Some rights.</p></div></body>"
+        assert extraction.main_text(page).startswith(LONG.strip()) and "Side" not in extraction.main_text(page)
+
+
+def test_parts_of_the_article_stay_and_furniture_goes():
+    page = f"""<body><article><div class='header'><h1 class='banner'>Title</h1></div><p class='notice'>{LONG}</p><h2 id='social-impact'>Impact</h2><p>{LONG}</p>
+<section id='related-work'><h2 id='search-results'>Results</h2><p>{LONG}<span class='ad'>x</span></p></section><div class='share-buttons'>Share</div>
+<div class='related_posts'><article>Teaser</article></div></article><ol class='commentlist'><li><article><p>{LONG * 9}</p></article></ol></body>"""
+    text = LONG.strip()
+    assert extraction.main_text(page) == "\n".join(["Title", text, "Impact", text, "Results", LONG + "x"])
+
+
 def test_hosts_vote(spark):
     post = lambda i: f"<body><div class='c'><p>{'body text ' * 5}{i}</p></div><div class='teaser'><p>more</p></div></body>"
     odd = f"<body><div class='c'><p>{'short. ' * 3}</p></div><div class='teaser'><p>{'a very long teaser ' * 9}</p></div></body>"

@@ -74,3 +74,54 @@ def test_scores_equal_brute_force(docs_of, prose):
         assert abs(a[6] - b[6]) < 0.01 * a[2]  # probabilities are quantised
     assert ngrams.score(docs_of([]), F.lit(True)).collect() == []
     assert ngrams.score(docs_of([(1, "a b")]), F.lit(False)).select("n_known", "score").first() == (0, 0.0)
+
+
+def brute_order(rows, order):
+    """Scores of an order by its definition, over begins, words and the end."""
+    token = [[0] * (order - 1) + re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) + [None] for _, t in rows]
+    train = [k for k, (i, _) in enumerate(rows) if zlib.crc32(str(i).encode()) % 7 != 2]
+    grams, contexts = collections.Counter(), collections.Counter()
+    for k in train:
+        for j in range(order - 1, len(token[k])):
+            for o in range(order):
+                grams[tuple(token[k][j - o:j + 1])] += 1
+                contexts[tuple(token[k][j - o:j])] += 1
+    followers = collections.Counter(g[:-1] for g in grams)
+    kinds = followers[()]
+
+    def log(g):
+        if len(g) == 1:
+            return math.log10((grams[g] + 1) / (contexts[()] + kinds + 1))
+        if grams[g]:
+            return math.log10((grams[g] - ngrams.DISCOUNT) / contexts[g[:-1]])
+        return (math.log10(ngrams.DISCOUNT * followers[g[:-1]] / contexts[g[:-1]]) if contexts[g[:-1]] else 0) + log(g[1:])
+
+    return sorted((i, sum(log(tuple(token[k][j - order + 1:j + 1])) for j in range(order - 1, len(token[k])))) for k, (i, _) in enumerate(rows))
+
+
+def test_orders_and_hot_grams_equal_brute_force(docs_of, prose, monkeypatch):
+    """With few and with many grams broadcast, and hot ones only held out."""
+    rows = [(i, prose(i % 25, 40 + i)) for i in range(40)] + [(100 + i, None) for i in range(30)] + [(200 + i, "of the " * 90) for i in range(9)]
+    held = [i for i in range(300, 400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows += [(i, "in a " * 200 + prose(i, 20)) for i in held] + [(62, "A a  A\ta"), (64, "日本 été")]
+    for order, share in ((3, 1000), (3, 20), (2, 20), (4, 100)):
+        monkeypatch.setattr(ngrams, "SHARE", share)
+        monkeypatch.setattr(ngrams, "LOCAL", 4 * share)
+        got = ngrams.score(docs_of(rows), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, order=order)
+        got = sorted((r.doc_id, r.n_tokens, r.score) for r in got.select("doc_id", "n_tokens", "score").collect())
+        for a, b in zip(got, brute_order(rows, order), strict=True):
+            assert a[0] == b[0] and abs(a[2] - b[1]) < 0.01 * a[1] + 0.02, (order, share, a, b)
+
+
+def test_hot_grams_do_not_reach_the_shards(docs_of):
+    """What is packed for the shards does not grow with one pair."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    h = ngrams._prints([np.array([ngrams.END]), np.array([ngrams.BEGIN])])
+    hot = {2: ngrams.Hot(ngrams._gram_id(h), np.array([5]), h.T), -1: ngrams.Hot(ngrams._context_id(h[1:]), np.array([5]), h[1:].T)}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array([""] * 499 + ["x x x x x x x"]), pa.array([True] * 500)], ["k", "t", "r"])
+    out = [r for x in ngrams._packer(2, 12, SimpleNamespace(value=hot))(iter([batch])) for r in x.to_pylist()]
+    assert sum(len(r["keys"]) // 8 for r in out) <= 3  # (begin, x), (x, x) once and (x, end)
+    assert sum(ngrams._unsmall(r["times"]).sum() for r in out) == 8

@@ -133,9 +133,11 @@ def _counts(order: int):
                 yield row(0, np.zeros(1, np.uint64), [len(own)])
                 yield row(1, *np.unique(rows[0][training[b.first + own]], return_counts=True))
                 for kind, ids, g in _kinds(_prints(rows)):
-                    word, first, n = np.unique(ids, return_index=True, return_counts=True)
-                    hot = n * LOCAL > len(own)
-                    yield row(kind, word[hot], n[hot], [x.tobytes() for x in np.ascontiguousarray(g[:, first[hot]].T)])
+                    word, n = np.unique(ids, return_counts=True)
+                    word, n = word[n * LOCAL > len(own)], n[n * LOCAL > len(own)]
+                    at, first = _find(word, ids), np.zeros(len(word), np.int64)
+                    first[at[at >= 0]] = np.flatnonzero(at >= 0)
+                    yield row(kind, word, n, [x.tobytes() for x in np.ascontiguousarray(g[:, first].T)])
 
     return run
 
@@ -171,8 +173,7 @@ def _exact(order: int, shared):
 def _hot(rows: DataFrame, counts: DataFrame, total: int, order: int) -> dict[int, Hot]:
     """Grams and contexts with more than one in SHARE of all tokens. As blocks
     leave out less than one in LOCAL, those found have three quarters of that."""
-    some = counts.where("kind not in (0, 1)").groupBy("kind", "word").agg(F.sum("n").alias("n"), F.first("gram").alias("gram"))
-    some = some.where(F.col("n") * 4 * SHARE > 3 * total).toPandas()
+    some = counts.where("kind not in (0, 1)").where(F.col("n") * 4 * SHARE > 3 * total).toPandas()
     kinds = [k for i in range(2, order + 1) for k in (i, 1 - i)]
 
     def of(frame, kind):
@@ -210,7 +211,7 @@ def _unsmall(x: bytes) -> np.ndarray:
     return np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64)
 
 
-_BLOBS = ["keys", "grams", "counts", "many", "owner", "times"]
+_BLOBS = ["keys", "words", "grams", "counts", "many", "owner", "times"]
 _PACK = "shard int, " + ", ".join(f"{x} binary" for x in _BLOBS)
 _OUT = "kind int, key long, word long, n long, value double, " + ", ".join(f"{x} binary" for x in _BLOBS)
 
@@ -226,10 +227,19 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
 
 def _packed(g: np.ndarray, owner: np.ndarray, times: np.ndarray, counts: np.ndarray, keys: np.ndarray, hot: dict[int, Hot], shards: int) -> Iterator[tuple]:
     """Rows of _PACK of grams with their text (-1 for none), how often it has
-    them and their training count."""
+    them and their training count. A row's grams are numbers of its words,
+    sorted from the nearest word of the context on."""
     ids, context = _gram_id(g), _context_id(g[1:])
     shard = (np.where(_find(hot[1 - len(g)].ids, context) >= 0, ids, context) % np.uint64(shards)).astype(np.int64)
-    at = np.lexsort((owner, ids, shard))
+    words, spelt = np.unique(g, return_inverse=True)
+    spelt, bits = spelt.reshape(g.shape), max(1, len(words).bit_length())
+    if bits * len(g) < 64:
+        ids = np.zeros(g.shape[1], np.int64)
+        for x in [*spelt[1:], spelt[0]]:
+            ids = ids << bits | x
+    at = np.argsort(owner, kind="stable") if len(owner) and (owner[1:] < owner[:-1]).any() else np.arange(len(owner))
+    at = at[np.argsort(ids[at], kind="stable")]
+    at = at[np.argsort(shard[at].astype(np.uint16 if shards < 1 << 16 else np.int64), kind="stable")]
     g, ids, owner, times, counts, shard = g[:, at], ids[at], owner[at], times[at], counts[at], shard[at]
     gram = _starts(ids, shard)
     entry = _starts(ids, shard, owner)
@@ -244,7 +254,8 @@ def _packed(g: np.ndarray, owner: np.ndarray, times: np.ndarray, counts: np.ndar
     for lo, hi in zip(cuts, np.append(cuts[1:], len(gram))):
         mine = slice(ends[lo], ends[hi])
         texts, who = np.unique(owner[mine], return_inverse=True)
-        yield (int(shard[gram[lo]]), keys[texts].tobytes(), _five(g[:, gram[lo:hi]].reshape(-1)), _small(counts[lo:hi]), _small(many[lo:hi]), _small(who), _small(times[mine]))
+        words, spelt = np.unique(g[:, gram[lo:hi]], return_inverse=True)
+        yield (int(shard[gram[lo]]), keys[texts].tobytes(), _five(words), _small(spelt.reshape(-1)), _small(counts[lo:hi]), _small(many[lo:hi]), _small(who), _small(times[mine]))
 
 
 def _packer(order: int, shards: int, shared):
@@ -275,7 +286,7 @@ def _shard(order: int, shards: int, shared):
         rows = {c: table.column(c).to_pylist() for c in _BLOBS}
         texts = [np.frombuffer(x, np.int64) for x in rows["keys"]]
         keys, base = np.concatenate(texts), np.cumsum([0] + [len(x) for x in texts])
-        g = np.concatenate([_unfive(x).reshape(k, -1) for x in rows["grams"]], axis=1)
+        g = np.concatenate([_unfive(w)[_unsmall(x)].reshape(k, -1) for w, x in zip(rows["words"], rows["grams"])], axis=1)
         n, many, times = (np.concatenate([_unsmall(x) for x in rows[c]]) for c in ("counts", "many", "times"))
         owner = np.concatenate([_unsmall(x) + o for x, o in zip(rows["owner"], base)])
         del rows, texts
@@ -420,8 +431,9 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.coalesce(training, F.lit(False)).alias("_train"))
     rows = rows.withColumn("_key", F.xxhash64("_id", "_text"))
 
-    counts = stage(rows.select("_text", "_train").mapInArrow(_counts(order), _COUNTS), "counts")
-    unigrams = stage(counts.where("kind = 1").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
+    counts = stage(rows.select("_text", "_train").mapInArrow(_counts(order), _COUNTS).groupBy("kind", "word").agg(
+        F.sum("n").alias("n"), F.max("gram").alias("gram")), "counts")
+    unigrams = counts.where("kind = 1").select("word", "n")
     total, kinds = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     hot = _hot(rows, counts, counts.where("kind = 0").agg(F.sum("n")).first()[0] or 0, order)
     shared_hot = spark.sparkContext.broadcast(hot)

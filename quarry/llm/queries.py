@@ -172,7 +172,7 @@ def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_ngram_scores")
 def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie and unigram log-probabilities of every document."""
-    return ngrams.score(table(spark, sf_dir, "documents"), _bucket(7) != 2)
+    return ngrams.score(table(spark, sf_dir, "documents"), _bucket(7) != 2, order=3)
 
 
 _LICENSES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())

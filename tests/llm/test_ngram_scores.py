@@ -125,3 +125,13 @@ def test_hot_grams_do_not_reach_the_shards(docs_of):
     out = [r for x in ngrams._packer(2, 12, SimpleNamespace(value=hot))(iter([batch])) for r in x.to_pylist()]
     assert sum(len(r["keys"]) // 8 for r in out) <= 3  # (begin, x), (x, x) once and (x, end)
     assert sum(ngrams._unsmall(r["times"]).sum() for r in out) == 8
+
+
+def test_query_scores_trigrams(spark, docs_of, prose, monkeypatch):
+    from quarry.llm import queries
+
+    rows = [(i, prose(i % 7, 30 + i)) for i in range(30)]
+    monkeypatch.setattr(queries, "table", lambda *_: docs_of(rows))
+    got = sorted((r.doc_id, r.n_tokens, r.score) for r in queries.QUERIES["op3_ngram_scores"](spark, "").collect())
+    for a, b in zip(got, brute_order(rows, 3), strict=True):
+        assert a[0] == b[0] and abs(a[2] - b[1]) < 0.01 * a[1] + 0.02

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, extraction, language, licenses, ngrams, pieces, resampling, setsketch, warc
+from . import decision_list, decontamination, extraction, language, licenses, ngrams, phrases, pieces, resampling, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -197,3 +197,47 @@ GROUP BY doc_id, license, n HAVING 100 * count(*) >= 75 * n
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH t AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(unnest(pieces), '[^\\x20\\x09]+') AS w FROM t
+), occ AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k)
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS n FROM occ GROUP BY lang, k, phrase
+), total AS (
+  SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS MATERIALIZED (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10
+), cut AS (
+  SELECT c.lang, c.k, c.phrase, c.a, j, x.n AS l, y.n AS r,
+    (1000000::HUGEINT * c.a * c.a) // (x.n::HUGEINT * y.n) AS score
+  FROM (SELECT *, array_to_string(w[1:j], ' ') AS p1, array_to_string(w[j + 1:], ' ') AS p2 FROM (SELECT *, unnest(range(1, k)) AS j FROM c)) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = p1
+  JOIN f y ON y.lang = c.lang AND y.phrase = p2
+), weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), covered AS (
+  SELECT lang, phrase, max(over) AS over FROM (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a AS over FROM c WHERE k = 3)
+  GROUP BY lang, phrase
+), kept AS (
+  SELECT s.* FROM weakest s LEFT JOIN covered v ON v.lang = s.lang AND v.phrase = s.phrase
+  WHERE s.k = 3 OR v.over IS NULL OR 100 * v.over < 50 * s.a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(total.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
+
+@_query("op13_phrases", OP13_SQL)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of every language."""
+    return phrases.mine(table(spark, sf_dir, "documents"))

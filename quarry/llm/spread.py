@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -43,3 +43,43 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], share: int
     repeated = right.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
     return dealt.join(repeated, [*on, "_salt"]).drop("_salt")
+
+
+# Rows of a table that may be broadcast; larger ones are joined by shuffles.
+BROADCAST_ROWS = 500_000
+
+
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", bound: int | None = None) -> DataFrame:
+    """Join ``left`` with ``right``, which holds each key once and is written:
+    broadcast up to ``bound`` rows (by default ``BROADCAST_ROWS``), else by a
+    shuffle whose hot keys are split. Null keys join nothing."""
+    bound = BROADCAST_ROWS if bound is None else bound
+    if right.limit(bound + 1).count() <= bound:
+        return left.join(F.broadcast(right), list(on), how)
+    left = stage(left, "looked-up")
+    if how == "inner":
+        return salted_join(left, right, on)
+    rest = [c for c in right.columns if c not in on]
+    keys = left.select(*on).distinct().join(right, list(on), "left").select(*on, *rest)
+    keyless = left.where(" or ".join(f"`{c}` is null" for c in on))
+    keyless = keyless.select(*left.columns, *(F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rest))
+    return salted_join(left, stage(keys, "keys"), on).unionByName(keyless)
+
+
+def running_totals(df: DataFrame, order: Sequence[str], value: str, keys: Sequence[str] = (), name: str = "before") -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows that come before a row
+    of the same ``keys`` in ``order``.
+
+    No key's rows meet in one task: rows are range-partitioned by keys and
+    order, summed inside each partition, and one row per (key, partition)
+    gives each partition its offset. Rows with equal keys and order follow
+    each other in any order. Keys must not be null.
+    """
+    keys, order = list(keys), list(order)
+    cut = stage(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = cut.groupBy(*keys, "_part").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = stage(sums.select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")), "offsets")
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = cut.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return lookup(own, base, [*keys, "_part"]).withColumn(name, F.col(name) + F.col("_base")).drop("_part", "_base")

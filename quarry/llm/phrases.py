@@ -27,19 +27,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .spread import lookup, running_totals, stage
 
 # Words and groups in one broadcast part.
-WORDS_PART = 1_000_000
+WORDS_PART = 600_000
 GROUPS_PART = 16_000_000
 # Bytes of text in a block (more only for a longer single text).
 BLOCK = 1 << 21
 # Entries that a task gathers before it passes its counts on.
-GATHERED = 4_000_000
-VOCABULARY = 500_000
+GATHERED = 2_000_000
+VOCABULARY = 300_000
 
 _BREAK = b"."
 # A-Z in lower case, every piece end a full stop; space and tab stay.
@@ -218,8 +218,8 @@ def _next_level(level: DataFrame, counts: DataFrame) -> DataFrame:
 
 def mine(docs: DataFrame, text: str = "text", group: str = "lang", longest: int = 3, least: int = 10, keep: int = 2000) -> DataFrame:
     """The ``keep`` best phrases of 2 to ``longest`` words of every group:
-    group, rank, phrase, a, l, r, n, score and cut-free counts as the module
-    docstring of the queries states them.
+    group, rank (from 1), phrase, a (its occurrences), l and r (those of the
+    two sides of its weakest cut), n (words of the group) and score.
 
     Texts are lower-cased (A-Z) and split into pieces at ``.,;:!?`` and line
     ends, pieces into words at spaces and tabs. A phrase counts with at least
@@ -266,8 +266,9 @@ def mine(docs: DataFrame, text: str = "text", group: str = "lang", longest: int
         relation = _in_parts(relation, total, GROUPS_PART, codes, f"occurrences-{k}")
     kept = below.drop("id") if found is None else found.unionByName(below.drop("id"))
     phrases = kept.withColumn("phrase", F.array_join(F.transform("words", lambda w: w.cast("string")), " "))
-    best = Window.partitionBy("group").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= keep)
+    phrases = phrases.select("*", (-F.col("score")).alias("_worse"), (-F.col("a")).alias("_rarer"), F.lit(1).cast("long").alias("_one"))
+    ranked = running_totals(phrases, ["_worse", "_rarer", "phrase"], "_one", ["group"], name="rank")
+    ranked = ranked.withColumn("rank", F.col("rank") + 1).where(F.col("rank") <= keep)
     return lookup(stage(ranked, "ranked"), stage(totals, "totals"), ["group"]).select(
         F.col("group").cast("string").alias(group), "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
 

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decision_list, decontamination, extraction, language, licenses, ngrams, phrases, pieces, resampling, setsketch, warc
+from . import alignment, decision_list, decontamination, extraction, language, licenses, ngrams, phrases, pieces, resampling, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -241,3 +241,13 @@ WHERE rank <= 2000
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of two and three words of every language."""
     return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between a byte-level and a piece tokenizer in every document."""
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.link(table(spark, sf_dir, "documents"), *files, carry=["doc_id"])
+    return found.select("_row.doc_id", *(c for c in found.columns if c != "_row"))

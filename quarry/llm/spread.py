@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and go on from
     the copy: later jobs and repeated tasks read the files, so a lost executor
     costs no more than its own tasks."""
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/quarry-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decision_list, decontamination, extraction, language, licenses, ngrams, phrases, pieces, resampling, setsketch, warc
+from . import alignment, curriculum, decision_list, decontamination, extraction, language, licenses, ngrams, phrases, pieces, resampling, setsketch, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -251,3 +251,43 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     found = alignment.link(table(spark, sf_dir, "documents"), *files, carry=["doc_id"])
     return found.select("_row.doc_id", *(c for c in found.columns if c != "_row"))
+
+
+# Weight schedules of integral 3, 1 and 2 whose sum is level: the first fades,
+# the second grows, the third stays.
+SCHEDULES = [[(0, 4), (1, 2)], [(0, 0), (1, 2)], [(0, 2), (1, 2)]]
+
+OP11_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM d GROUP BY source
+), f AS (
+  SELECT *, 2.0::DOUBLE * source_size AS most, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS i FROM s
+), fill AS (
+  SELECT 0::BIGINT AS i, 1.5::DOUBLE * (SELECT sum(source_size)::DOUBLE FROM s) AS words_left, (SELECT sum(weight) FROM s) AS weight_left
+  UNION ALL
+  SELECT f.i, fill.words_left - f.most, fill.weight_left - f.weight FROM fill JOIN f ON f.i = fill.i + 1
+  WHERE f.most <= fill.words_left / fill.weight_left * f.weight
+), level AS (
+  SELECT CASE WHEN weight_left > 0 THEN words_left / weight_left END AS level FROM fill ORDER BY i DESC LIMIT 1
+), t AS (
+  SELECT source, source_size, coalesce(least(most, level * weight), most) AS target FROM f, level
+), o AS (
+  SELECT d.row, d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS take,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id, d.row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(greatest(0, least(size, take - start)) + greatest(0, least(size, take - source_size - start)) AS BIGINT) AS taken FROM o
+"""
+
+
+@_query("op11_mixing", OP11_SQL)
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes, from the training order."""
+    ordered = curriculum.plan(table(spark, sf_dir, "documents"), SCHEDULES)
+    one = [F.first(c).alias(c) for c in ("_key", "size", "source_size", "target")]
+    taken = ordered.groupBy("_row").agg(*one, F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"))
+    return taken.select(F.col("_key").alias("doc_id"), "size", "source_size", "target", "taken")

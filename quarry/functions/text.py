@@ -180,3 +180,11 @@ def substring_matches(text: Column | str, terms: Column) -> Column:
     """FN18: terms contained in the text, case-folded, not word-bounded."""
     low = F.lower(_c(text))
     return F.filter(terms, lambda t: F.position(F.lower(t), low) > F.lit(0))
+
+
+def title_or_url(title: Column | str, url: Column | str) -> tuple[Column, Column]:
+    """FN15: (title, origin): the given title, else the one that the address
+    ends with, else null; origin is link, url or unmatched."""
+    given, derived = blank_to_null(title), blank_to_null(url_title(url))
+    origin = F.when(given.isNotNull(), F.lit("link")).when(derived.isNotNull(), F.lit("url")).otherwise(F.lit("unmatched"))
+    return F.coalesce(given, derived), origin

@@ -127,3 +127,11 @@ def top_n_per(df: DataFrame, part: Sequence[str], n: int, order: Sequence[Column
     """Top ``n`` rows per partition with a total order (WindowGroupLimit)."""
     w = Window.partitionBy(*part).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= F.lit(n))
+
+
+def against_reference(counts: DataFrame, reference: DataFrame, label: str) -> DataFrame:
+    """JN13: (label, n, reference, diff): counts next to those of a reference
+    table; labels that the reference lacks count 0 there, labels that only it
+    has are left out."""
+    known = F.coalesce(F.col("reference"), F.lit(0))
+    return counts.join(reference, label, "left").select(label, "n", known.alias("reference"), (F.col("n") - known).alias("diff"))

@@ -77,3 +77,15 @@ def todo(candidates: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """IN1 / IN3: candidates not yet processed (left anti join with the
     previous output)."""
     return candidates.join(done.select(key).distinct(), key, "left_anti")
+
+
+def display_only(df: DataFrame, field: str, value: str) -> DataFrame:
+    """DQ5: (check, status, found) for a field that is shown and looked up by
+    exact value but is not searchable text: the value is found (a warning if
+    not), its other case and its plural are not."""
+    other = value.lower() if value != value.lower() else value.upper()
+    plural = value + ("S" if value.isupper() else "s")
+    n = df.agg(*(F.count_if(F.col(field) == v).alias(c) for c, v in (("e", value), ("o", other), ("p", plural))))
+    row = lambda check, ok, bad, found: F.struct(F.lit(check).alias("check"), F.when(ok, "pass").otherwise(bad).alias("status"), F.col(found).alias("found"))
+    return n.select(F.inline(F.array(row("exact value found", F.col("e") > 0, "warn", "e"), row("case-sensitive", (F.col("e") == 0) | (F.col("o") == 0), "fail", "o"),
+                                     row("no stemming", F.col("p") == 0, "fail", "p"))))

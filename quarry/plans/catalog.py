@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import collection, evaluation, html, prepare, profile, quality, query_edits, retrieval, retrieval_variants, trials  # noqa: F401
+from . import collection, evaluation, html, needs, prepare, profile, quality, query_edits, retrieval, retrieval_variants, trials  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

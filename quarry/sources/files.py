@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -36,9 +36,23 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, bom: bool
     return df
 
 
+def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """SC1 + SC2: like ``read_csv``, all strings and found by their header
+    names (a byte-order mark before the first is ignored), in whatever order;
+    a column that the file lacks is empty, others are left out. Empty fields
+    are empty strings. ``_metadata`` stays available."""
+    df = (
+        spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")
+        .option("nullValue", "\u0000").option("emptyValue", "").csv(path)
+    )
+    named = {c.lstrip("\ufeff").strip('"'): c for c in reversed(df.columns)}
+    there = [F.coalesce(F.col(f"`{named[c]}`"), F.lit("")).alias(c) if c in named else F.lit("").alias(c) for c in columns]
+    return df.select(*there, "_metadata")
+
+
 def read_optional(spark: SparkSession, path: str, schema: StructType | str, reader=None) -> DataFrame:
     """SC3: a missing input is an empty table of the declared schema."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return (reader or (lambda p: read_csv(spark, p, schema)))(path)
 
@@ -145,8 +159,9 @@ def write_run_json(run: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """SC12: fixed column list, extra columns ignored, header row."""
-    df.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    """SC12: fixed column list, extra columns ignored, header row, quotes
+    inside a field doubled as the readers expect."""
+    df.select(*columns).write.mode("overwrite").option("header", True).option("escape", chr(34)).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

@@ -36,7 +36,7 @@ from .spread import lookup, running_totals, stage
 WORDS_PART = 600_000
 GROUPS_PART = 16_000_000
 # Bytes of text in a block (more only for a longer single text).
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 # Entries that a task gathers before it passes its counts on.
 GATHERED = 2_000_000
 VOCABULARY = 300_000
@@ -248,7 +248,8 @@ def mine(docs: DataFrame, text: str = "text", group: str = "lang", longest: int
     level = stage(words.select("id", "n", "group", F.array("word").alias("words"), F.array("n").alias("prefix"), F.array("n").alias("suffix")), "level")
     found, below = None, None
     for k in range(2, longest + 1):
-        counts = relation.mapInArrow(_group_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        # Each task has summed its own rows, so they are dealt out as they are.
+        counts = relation.mapInArrow(_group_counts, "code long, n long").repartition("code").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         counts = stage(counts, "group-counts").withColumn("_one", F.lit(1).cast("long"))
         counts = stage(running_totals(counts, ["code"], "_one", name="id").drop("_one"), "groups")
         level = _next_level(level, counts)

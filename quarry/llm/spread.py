@@ -46,7 +46,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], share: int
 
 
 # Rows of a table that may be broadcast; larger ones are joined by shuffles.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", bound: int | None = None) -> DataFrame:

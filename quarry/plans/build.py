@@ -8,6 +8,8 @@ document fails without leaving one.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +17,25 @@ from ..operators import collection as C
 from ..sources import files as FS
 from ..sources.store import stage
 
-# Columns of each source file; all are strings.
+# Columns of each source; all are strings.
 COLUMNS = {
-    "movies": ("movies_clean.csv", ("movie_id", "title", "original_title", "release_date", "runtime", "original_language", "status", "overview", "tagline",
-                                    "genres", "vote_average", "vote_count", "popularity", "budget", "revenue")),
-    "credits": ("castcrew_agg.csv", ("movie_id", "director", "cast", "crew_names", "crew_roles")),
-    "links": ("movies_wikipedia_links.csv", ("movie_id", "wikidata_id", "imdb_id", "wikipedia_title", "wikipedia_url", "match_method")),
-    "plots": ("wikipedia_plot.csv", ("movie_id", "status", "plot")),
-    "reviews": ("reviews_clean.csv", ("movie_id", "author", "author_rating", "content", "created_at")),
+    "movies": ("movie_id", "title", "original_title", "release_date", "runtime", "original_language", "status", "overview", "tagline",
+               "genres", "vote_average", "vote_count", "popularity", "budget", "revenue"),
+    "credits": ("movie_id", "director", "cast", "crew_names", "crew_roles"),
+    "links": ("movie_id", "wikidata_id", "imdb_id", "wikipedia_title", "wikipedia_url", "match_method"),
+    "plots": ("movie_id", "status", "plot"),
+    "reviews": ("movie_id", "author", "author_rating", "content", "created_at"),
 }
 
 
-def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The five sources with a sequence column (file, row); a file that is not
-    there is an empty table. Columns are found by name, in any order; one that
+def read_sources(spark: SparkSession, folder: str, names: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """The five sources with a sequence column (file, row), from ``movies.csv``
+    and so on or the file names in ``names``; a file that is not there is an
+    empty table. Columns are found by name, in any order; one that
     a file lacks is empty."""
     out = {}
-    for name, (file, columns) in COLUMNS.items():
-        path = f"{folder.rstrip('/')}/{file}"
+    for name, columns in COLUMNS.items():
+        path = f"{folder.rstrip('/')}/{(names or {}).get(name, f'{name}.csv')}"
         if not FS.exists(spark, path):
             out[name] = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + ", seq struct<file:string,row:long>")
             continue
@@ -41,13 +44,14 @@ def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return out
 
 
-def build(spark: SparkSession, source: str, target: str, strict: bool = True, min_words: int = C.MIN_PLOT_WORDS, most_reviews: int = 100_000) -> dict[str, str]:
+def build(spark: SparkSession, source: str, target: str, strict: bool = True, min_words: int = C.MIN_PLOT_WORDS, most_reviews: int = 100_000,
+          names: Mapping[str, str] | None = None) -> dict[str, str]:
     """Build the collection from ``source`` into ``target`` and return the
     paths of its parts: ``collection`` (nested JSON lines, nulls kept),
     ``search_rows`` (JSON lines, null fields left out) and ``manifest``. With
     ``strict`` an invalid document fails the build, otherwise such documents
     are written to ``rejected`` and to no other part."""
-    tables = read_sources(spark, source)
+    tables = read_sources(spark, source, names)
     decisions = stage(C.plot_decisions(tables["movies"], tables["plots"], min_words), "decisions")
     kids = stage(C.children(tables["reviews"], decisions.where("drop_reason is null")), "children")
     rows = C.parents(tables["movies"], tables["credits"], tables["links"], decisions, kids)

@@ -19,13 +19,13 @@ def write(path, columns, rows, bom=False):
 @pytest.fixture
 def folder(tmp_path):
     movie = {"title": 'A "quoted", title', "release_date": "1999-01-02", "runtime": "90.0", "genres": "Drama,Crime", "vote_average": "6", "vote_count": "4"}
-    columns = [*reversed(BD.COLUMNS["movies"][1]), "extra"]
-    write(tmp_path / "movies_clean.csv", columns, [{**movie, "movie_id": "2", "title": "old"}, {**movie, "movie_id": "2", "extra": "x"}, {**movie, "movie_id": "3", "title": "three"},
+    columns = [*reversed(BD.COLUMNS["movies"]), "extra"]
+    write(tmp_path / "movies.csv", columns, [{**movie, "movie_id": "2", "title": "old"}, {**movie, "movie_id": "2", "extra": "x"}, {**movie, "movie_id": "3", "title": "three"},
                                                   {**movie, "movie_id": "m4"}, {**movie, "movie_id": "5"}, {**movie, "movie_id": "6"}])
-    write(tmp_path / "movies_wikipedia_links.csv", BD.COLUMNS["links"][1], [{"movie_id": "2", "wikipedia_title": "É", "wikipedia_url": "http://e"}], bom=True)
-    write(tmp_path / "wikipedia_plot.csv", BD.COLUMNS["plots"][1], [{"movie_id": "2", "status": "ok", "plot": f"{LONG}\n\nsecond, \"line\"[3]"}, {"movie_id": "3", "status": "ok", "plot": LONG},
+    write(tmp_path / "links.csv", BD.COLUMNS["links"], [{"movie_id": "2", "wikipedia_title": "É", "wikipedia_url": "http://e"}], bom=True)
+    write(tmp_path / "plots.csv", BD.COLUMNS["plots"], [{"movie_id": "2", "status": "ok", "plot": f"{LONG}\n\nsecond, \"line\"[3]"}, {"movie_id": "3", "status": "ok", "plot": LONG},
                                                                    {"movie_id": "5", "status": "ok", "plot": "short"}, {"movie_id": "m4", "status": "ok", "plot": LONG}])
-    write(tmp_path / "reviews_clean.csv", BD.COLUMNS["reviews"][1], [{"movie_id": "2", "content": "one\r\ntwo", "created_at": "2020-01-02T03"}, {"movie_id": "2", "author": "B", "author_rating": "7"}, {"movie_id": "5", "content": "gone"}])
+    write(tmp_path / "said.csv", BD.COLUMNS["reviews"], [{"movie_id": "2", "content": "one\r\ntwo", "created_at": "2020-01-02T03"}, {"movie_id": "2", "author": "B", "author_rating": "7"}, {"movie_id": "5", "content": "gone"}])
     return tmp_path
 
 
@@ -34,7 +34,7 @@ def lines(path):
 
 
 def test_build_from_files(spark, folder):
-    paths = BD.build(spark, str(folder), f"{folder}/out")
+    paths = BD.build(spark, str(folder), f"{folder}/out", names={"reviews": "said.csv"})
     docs = {d["movie_id"]: d for d in lines(folder / "out/collection")}
     assert set(paths) == {"collection", "search_rows", "manifest"} and set(docs) == {2, 3}
     two = docs[2]
@@ -52,7 +52,7 @@ def test_build_from_files(spark, folder):
 
 
 def test_invalid_documents(spark, folder):
-    write(folder / "castcrew_agg.csv", BD.COLUMNS["credits"][1], [{"movie_id": "3", "crew_roles": "No Job"}])
+    write(folder / "credits.csv", BD.COLUMNS["credits"], [{"movie_id": "3", "crew_roles": "No Job"}])
     with pytest.raises(Exception, match="invalid document 3: crew_roles"):
         BD.build(spark, str(folder), f"{folder}/strict")
     assert not (folder / "strict").exists()

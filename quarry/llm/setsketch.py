@@ -20,8 +20,8 @@ documents with ``100 * |intersection| >= 75 * |union|``:
    when the joint likelihood of its registers does not exclude the threshold,
    and is confirmed on the full shingle sets of the two texts. Two rounds
    join the large groups; then every remaining pair of different components
-   that shares a bucket is compared, except those that their sets' unshared
-   shingles rule out, so no candidate is left out.
+   that shares a bucket is compared, except those that the sets' differences
+   from a common pivot rule out, so no candidate is left out.
 """
 
 from __future__ import annotations
@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .spread import stage
+from .spread import lookup, stage
 
 WORDS = 5
 THRESHOLD = 75  # per cent
@@ -284,6 +284,16 @@ def _node_components(docs: DataFrame, nodes: DataFrame, key: str, text: str) ->
     return comps
 
 
+def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct shingles of every text, as sorted hashes."""
+    for block in tokens.blocks(texts):
+        h, own = tokens.shingles(tokens.word_hashes(block), block.bounds, WORDS)
+        order = np.argsort(own, kind="stable")
+        cuts = np.searchsorted(own[order], np.arange(len(block.bounds)))
+        for i in range(len(block.bounds) - 1):
+            yield np.unique(h[order[cuts[i]:cuts[i + 1]]])
+
+
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, h): the distinct shingles of every text, as hashes."""
     for batch in batches:
@@ -296,30 +306,73 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(node[block.first + own[new]]), pa.array(h[new].view(np.int64))], ["node", "h"])
 
 
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(top, node, diff): the shingles that only one of a node and its pivot holds."""
+    last, pivot = None, None
+    for batch in batches:
+        diff = []
+        tops, texts = batch.column("top").to_pylist(), batch.column("top_text")
+        for i, own in enumerate(_sets(batch.column("text"))):
+            if tops[i] != last:  # a pivot's rows mostly come one after the other
+                last, pivot = tops[i], next(_sets(texts.slice(i, 1)))
+            diff.append(np.setxor1d(own, pivot, assume_unique=True).view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("top"), batch.column("node"), pa.array(diff, pa.list_(pa.int64()))], ["top", "node", "diff"])
+
+
 def _remaining(members: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of members of one bucket that are in different components and may
-    be linked. The members of each bucket's largest component are compared
-    with the other members only, never with one another.
-
-    A shingle that no other member of an open bucket holds cannot be shared.
-    With c the number of a set's other shingles, sets of sizes m and n can be
-    linked only if c >= 3 / 7 * (m + n), the intersection that the threshold
-    asks for. That drops most stragglers of a large group before any pair of
-    them is made, and loses no link.
+    be linked. A bucket's members are a cluster with the buckets that have the
+    same largest component; its first node is their pivot. The members of the
+    largest component are compared with other members only.
+
+    With D(u) the symmetric difference of u and the pivot, of d(u) shingles,
+    u and v of sizes m and n are linked exactly if at most (m + n) / 7 shingles
+    are in one of D(u) and D(v) only, so if D(u) and D(v) share at least
+    need = (d(u) + d(v) - (m + n) / 7) / 2 shingles. Members with
+    d <= (m + size of the pivot) / 7 are linked to the pivot and go on as a
+    pair with it. For any other u the need is positive whatever v is, so both
+    must hold one of the d - need + 1 rarest shingles of the other's D, in one
+    order for the cluster. Copies of one text differ from it in few and mostly
+    rare shingles, so few pairs are made of the copies that are not linked,
+    and no link is lost.
+
+    Before that, a shingle that no other member of an open bucket holds cannot
+    be shared, so sets with over a quarter of such shingles have no link.
     """
     sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
     largest = stage(sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top")).select("bucket", F.col("top.comp").alias("top")), "largest")
     open_ = stage(members.select("node").distinct(), "open-nodes")
     hashed = stage(texts.join(open_, "node").select("node", "text").mapInArrow(_hashes, "node long, h long"), "shingles")
-    held = met.select("node", "n").join(open_, "node")
+    able = met.select("node", "n").join(open_, "node")
     for _ in range(PEELS):  # without the sets ruled out, more shingles are unshared
         alone = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).where("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-        held = stage(held.select("node", "n").join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("c")).where("4 * c >= 3 * n"), "held")
-        hashed = hashed.join(held.select("node"), "node")
-    marked = stage(members.join(held, "node").join(largest, "bucket"), "marked")
-    lengths = stage(marked.select("bucket", F.col("n").alias("m")).distinct(), "lengths")
-    others = marked.where("comp != top").join(lengths, "bucket").where("4 * m >= 3 * n and 4 * n >= 3 * m and 7 * c >= 3 * (m + n)")
-    others = stage(others.select("bucket", "m", F.col("node").alias("u"), F.col("comp").alias("u_comp"), F.col("n").alias("u_n")), "others")
-    every = marked.select("bucket", F.col("n").alias("m"), F.col("node").alias("v"), F.col("comp").alias("v_comp"), "top", F.col("c").alias("v_c"))
-    pairs = others.join(every, ["bucket", "m"]).where("u_comp != v_comp and (v_comp = top or u < v) and 7 * v_c >= 3 * (m + u_n)")
-    return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+        able = stage(able.join(alone, "node", "left").where("4 * coalesce(alone, 0) <= n").select("node", "n"), "able")
+        hashed = hashed.join(able.select("node"), "node")
+    cluster = members.join(able.select("node"), "node").join(largest, "bucket").where("node != top").select("top", "node", "comp").distinct()
+    size = met.select("node", "n")
+    cluster = cluster.join(size, "node").join(size.toDF("top", "top_n"), "top")
+    cluster = stage(cluster, "cluster")
+    diffs = cluster.select("top", "node").join(texts, "node").join(texts.toDF("top", "top_text"), "top").select("top", "node", "text", "top_text").mapInArrow(
+        _differences, "top long, node long, diff array<long>")
+    cluster = stage(cluster.join(diffs, ["top", "node"]).withColumn("d", F.size("diff").cast("long")).withColumn(
+        "free", F.expr("comp != top and 7 * d > n + top_n")), "differences")
+
+    to_pivot = cluster.where("comp != top and not free").select(F.least("top", "node").alias("a"), F.greatest("top", "node").alias("b"))
+    # pairs are made in clusters with a free member and another one
+    several = cluster.groupBy("top").agg(F.count(F.lit(1)).alias("all"), F.max("free").alias("some")).where("some and all > 1").select("top")
+    held = stage(cluster.join(several, "top").select("top", "node", "comp", "n", "top_n", "d", "free", F.explode("diff").alias("h")), "held")
+    shared = held.groupBy("top", "h").agg(F.count(F.lit(1)).alias("sets"), F.max("free").alias("some")).where("some and sets > 1")
+    # positions of the shared shingles; those that no other member can match come first and count too
+    ranked = lookup(held, stage(shared.select("top", "h", "sets"), "shared"), ["top", "h"])
+    order = Window.partitionBy("top", "node").orderBy("sets", "h")
+    total = F.count(F.lit(1)).over(Window.partitionBy("top", "node"))
+    ranked = ranked.withColumn("left", total - F.row_number().over(order) + 1).drop("sets")
+    # left: shared shingles from this one on; sizes differ by a third at most, so need >= d - n / 3
+    ranked = stage(ranked.where("3 * (d - left) <= n and 14 * left >= if(free, 0, 7 * d + top_n - n)"), "ranked")
+    side = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("node", "comp", "n", "d", "left", "free")]
+    u = ranked.where("free").select("top", "h", *side("u"))
+    v = ranked.select("top", "h", *side("v"))
+    pairs = u.join(v, ["top", "h"]).where(
+        "u_comp != v_comp and (not v_free or u_node < v_node) and 4 * u_n >= 3 * v_n and 4 * v_n >= 3 * u_n"
+        " and 14 * least(u_left, v_left) >= 7 * (u_d + v_d) - (u_n + v_n)")
+    return to_pivot.unionByName(pairs.select(F.least("u_node", "v_node").alias("a"), F.greatest("u_node", "v_node").alias("b")))

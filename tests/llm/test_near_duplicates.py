@@ -52,6 +52,49 @@ def test_chain_is_one_component(docs_of, prose):
     assert {c for _, c, _ in got.values()} == {0}
 
 
+def test_stragglers_of_a_large_group(docs_of, prose):
+    """Copies of one text with scattered edits: many share most shingles and
+    are linked with nothing, some only with another straggler."""
+    base = prose(3, 140).split()
+    rows = []
+    for i in range(240):
+        own = list(base)
+        for j in range(i % 12):  # edited places and new words recur between copies
+            own[(i * 31 + j * 53) % 140] = f"e{(i * 7 + j) % 40}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, rows[11 + 12 * i][1] + f" tail{i}") for i in range(15)]
+    want = brute(rows)
+    sizes = {}
+    for _, c, _ in want.values():
+        sizes[c] = sizes.get(c, 0) + 1
+    assert max(sizes.values()) > 80 and 1 in sizes.values() and any(1 < s < 10 for s in sizes.values())
+    assert answer(setsketch.near_duplicates(docs_of(rows))) == want
+
+
+def test_few_pairs_of_stragglers(spark, docs_of, prose):
+    """The last step alone: no link between components is missed, and pairs
+    stay far below those of the group."""
+    base = prose(3, 140).split()
+    texts = []
+    for i in range(300):
+        own = list(base)
+        for j in range(i % 12):
+            own[(i * 31 + j * 53) % 140] = f"e{(i * 7 + j) % 40}"
+        texts.append(" ".join(own))
+    texts = list(dict.fromkeys(texts))
+    sets = [sets_of(t) for t in texts]
+    links = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    top = {0} | {b for a, b in links if a == 0}
+    comp = [0 if i in top else i for i in range(len(texts))]
+    members = spark.createDataFrame([(7, i, c) for i, c in enumerate(comp)], "bucket long, node long, comp long")
+    met = spark.createDataFrame([(i, len(s)) for i, s in enumerate(sets)], "node long, n long")
+    written = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    got = {(r.a, r.b) for r in setsketch._remaining(members, met, written).distinct().collect()}
+    across = {(a, b) for a, b in links if comp[a] != comp[b]}
+    assert across and across <= got
+    assert len(got) < len(texts) * (len(texts) - 1) / 2 / 10
+
+
 def test_repeated_rows_null_ids_and_no_rows(docs_of, prose):
     t = prose(1, 50)
     got = [tuple(r) for r in setsketch.near_duplicates(docs_of([(3, t), (3, t), (5, t), (None, t), (4, "z " * 40)])).select("doc_id", "component_id", "kept").collect()]

@@ -18,8 +18,8 @@ documents with ``100 * |intersection| >= 75 * |union|``:
 3. in each round every bucket that still spans several components compares
    its members with one pivot, which is linear in the bucket; a pair goes on
    when the joint likelihood of its registers does not exclude the threshold,
-   and is confirmed on the full shingle sets of the two texts. Two rounds
-   join the large groups; then every remaining pair of different components
+   and is confirmed on the full shingle sets of the two texts. One round
+   joins the large groups; then every remaining pair of different components
    that shares a bucket is compared, except those that the sets' differences
    from a common pivot rule out, so no candidate is left out.
 """
@@ -43,8 +43,7 @@ REGISTERS = 255
 BASE = 1.1
 RATE = 20.0
 BANDS, ROWS = 51, 5
-PIVOT_ROUNDS = 2
-PEELS = 2
+PIVOT_ROUNDS = 1
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -343,12 +342,10 @@ def _remaining(members: DataFrame, met: DataFrame, texts: DataFrame) -> DataFram
     largest = stage(sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top")).select("bucket", F.col("top.comp").alias("top")), "largest")
     open_ = stage(members.select("node").distinct(), "open-nodes")
     hashed = stage(texts.join(open_, "node").select("node", "text").mapInArrow(_hashes, "node long, h long"), "shingles")
-    able = met.select("node", "n").join(open_, "node")
-    for _ in range(PEELS):  # without the sets ruled out, more shingles are unshared
-        alone = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).where("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-        able = stage(able.join(alone, "node", "left").where("4 * coalesce(alone, 0) <= n").select("node", "n"), "able")
-        hashed = hashed.join(able.select("node"), "node")
-    cluster = members.join(able.select("node"), "node").join(largest, "bucket").where("node != top").select("top", "node", "comp").distinct()
+    alone = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).where("sets = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    able = met.select("node", "n").join(open_, "node").join(alone, "node", "left").where("4 * coalesce(alone, 0) <= n")
+    able = stage(able.select("node"), "able")
+    cluster = members.join(able, "node").join(largest, "bucket").where("node != top").select("top", "node", "comp").distinct()
     size = met.select("node", "n")
     cluster = cluster.join(size, "node").join(size.toDF("top", "top_n"), "top")
     cluster = stage(cluster, "cluster")

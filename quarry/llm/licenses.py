@@ -3,10 +3,10 @@
 Texts are cut into overlapping windows of ``WINDOW`` words. Each window has
 ``BANDS`` MinHash bands of one row over its 5-word shingles; windows whose
 bands occur among those of the templates retrieve these templates. A shingle
-lies in two windows of four shingles, so a notice that shares a single shingle
-with its template is retrieved with a probability of 1 - 0.75 ** (2 * BANDS),
-which is 0.999; every further shingle adds to it. Retrieved pairs are
-verified by exact containment: at least ``CONTAINED`` per cent of the
+lies in two windows of at most four shingles, the first of a text in one that
+begins before it, so a notice of a single shingle is retrieved with a
+probability of at least 1 - 0.75 ** (2 * BANDS), which is 0.999; every further
+shingle adds to it. Retrieved pairs are verified by exact containment: at least ``CONTAINED`` per cent of the
 template's distinct shingles must occur in the text.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_texts import TEMPLATES
 from .spread import stage
 
 WORDS = 5
@@ -23,24 +24,6 @@ STEP = 2
 BANDS = 12
 CONTAINED = 75
 
-# Public license notices and headers.
-TEMPLATES = {
-    "MIT-notice": "Released under the MIT License.",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-}
-
 
 def words(text: Column) -> Column:
     """Runs of ASCII letters and digits of the text in lower case."""
@@ -49,13 +32,13 @@ def words(text: Column) -> Column:
 
 def _windows(source: DataFrame, keys: list[str], step: int) -> DataFrame:
     """The keys and the bands h0.. of every window that holds a shingle; the
-    last windows of a text hold fewer and repeat their last one."""
+    first and the last windows of a text hold fewer and repeat one."""
     held = WINDOW - WORDS + 1
     hashed = source.where(F.size("_words") >= WORDS).select(*keys, F.transform(
         F.sequence(F.lit(1), F.size("_words") - (WORDS - 1)), lambda i: F.xxhash64(F.slice("_words", i, WORDS))).alias("_s"))
-    begins = F.sequence(F.lit(0), F.size("_s") - 1, F.lit(step))
+    begins = F.sequence(F.lit(-step if step > 1 else 0), F.size("_s") - 1, F.lit(step))
     window = hashed.select(*keys, F.inline(F.transform(begins, lambda i: F.struct(
-        *[F.get("_s", F.least(i + j, F.size("_s") - 1)).alias(f"s{j}") for j in range(held)]))))
+        *[F.get("_s", F.greatest(F.lit(0), F.least(i + j, F.size("_s") - 1))).alias(f"s{j}") for j in range(held)]))))
     low = [F.least(*[F.xxhash64(f"s{j}", F.lit(i)) for j in range(held)]).alias(f"h{i}") for i in range(BANDS)]
     return window.select(*keys, *low)
 

@@ -44,3 +44,29 @@ def test_licenses(docs_of, prose):
     assert licenses.scan(docs_of(rows)).count() == len(got)
     assert licenses.scan(docs_of([])).collect() == []
     assert licenses.scan(docs_of(rows), templates={"short": "mit license"}).collect() == []
+
+
+def test_every_template_is_found_at_the_start_and_inside(spark, docs_of, prose):
+    """Whole texts give their opening passages too, and equal brute force."""
+    import re
+
+    def fives(text):
+        w = re.findall("[a-z0-9]+", text.lower())
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+    rows = []
+    for i, body in enumerate(licenses.TEMPLATES.values()):
+        rows += [(4 * i, body), (4 * i + 1, body + " " + prose(i, 30)), (4 * i + 2, prose(i, 31 + i % 2) + " " + body), (4 * i + 3, prose(i, 40) + "\n" + body + "\n" + prose(i + 1, 40))]
+    want = {(i, name) for i, text in rows for name, body in licenses.TEMPLATES.items()
+            if 100 * len(fives(body) & fives(text)) >= 75 * len(fives(body))}
+    assert {(r.doc_id, r.license) for r in licenses.scan(docs_of(rows)).collect()} == want
+    assert {i for i, _ in want} == {i for i, _ in rows}
+
+
+def test_a_notice_at_the_start_has_two_windows(spark):
+    """The first window begins before the text and holds its first two shingles."""
+    from pyspark.sql import functions as F
+
+    one = spark.createDataFrame([(1, "a b c d e f g h i")], "k int, t string").select("k", licenses.words(F.col("t")).alias("_words"))
+    cut = licenses._windows(one, ["k"], licenses.STEP)
+    assert cut.count() == 4  # five shingles: windows from -2, 0, 2 and 4

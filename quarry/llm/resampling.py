@@ -31,14 +31,12 @@ SMOOTHING = 10.0  # keeps the ratios of rare grams near 0
 
 
 def _grams(b: tokens.Block) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text of every 1- and 2-gram, once per text: a word that one
-    text repeats says little about other texts."""
+    """Bucket and text of every occurrence of a 1- or 2-gram."""
     words, own = tokens.word_hashes(b), tokens.owners(b.bounds)
     pairs, at = tokens.windows(words, b.bounds, 2)
     h = np.concatenate((tokens.mix(words), pairs)) >> np.uint64(64 - BUCKETS.bit_length() + 2)
     h[len(words):] += np.uint64(BUCKETS // 2)
-    both = np.unique(np.concatenate((own, own[at])) * BUCKETS + h.astype(np.int64))
-    return both % BUCKETS, both // BUCKETS
+    return h.astype(np.int64), np.concatenate((own, own[at]))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,3 +32,16 @@ def test_kth_largest(spark, k):
     assert resampling.kth_largest(frame, "v", k) == np.sort(values)[-k]
     assert resampling.kth_largest(frame, "v", 40_001) is None
     assert resampling.kth_largest(frame.selectExpr("1.5D as v"), "v", k) == 1.5
+
+
+def test_repeats_count_in_the_ratio(spark):
+    """The weight is the log ratio of the probabilities of all occurrences."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    w = np.random.default_rng(1).normal(size=resampling.BUCKETS)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array(["x", "x x x", None])], ["_row", "t"])
+    one, three, none = [r for b in resampling._scorer(SimpleNamespace(value=w))(iter([batch])) for r in b.to_pylist()]
+    assert (one["n_grams"], three["n_grams"], none["n_grams"]) == (1, 5, 0)
+    pair = (three["log_ratio"] - 3 * one["log_ratio"]) / 2
+    assert np.isclose(w[resampling.BUCKETS // 2:], pair).any() and none["log_ratio"] == 0

@@ -2,8 +2,8 @@
 of source files, opening passages and whole texts."""
 
 # Public license notices, headers and texts. Names that end in
-# -notice are one sentence, those in -text a whole license without its title
-# and copyright line.
+# -notice are one sentence, those in -text a license without its title and
+# copyright line; Boost and Unlicense end before their warranty parts.
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",

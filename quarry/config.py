@@ -75,3 +75,7 @@ FOLD_FROM, FOLD_TO = _fold_table()
 
 # Broadcast bound: a side is broadcast only when it has at most this many rows.
 BROADCAST_MAX_ROWS = 2_000_000
+
+# Rows that one task makes out of its postings (about 100 bytes each in a hash
+# aggregate or a sort); the number of tasks follows from it.
+TASK_ROWS = 2_000_000

@@ -14,13 +14,17 @@ Multi-field search: a term's score is the maximum over fields of
 ``weight * field_score`` (disjunction-max, tie 0), summed over terms.
 
 Plan shape (one query batch = one job):
-  documents --(regex tokenize, explode)--> terms
+  documents --(regex tokenize, count inside the row)--> (field, term, doc, dl, tf)
      --broadcast semi-join to the batch's distinct query terms (size checked)-->
-     partial+final aggregate (field, term, doc) -> tf       [shuffle: matching postings only]
+     dealt by document                                      [shuffle: matching postings only]
      -> df per (field, term) (aggregate, broadcast back: bounded by query terms)
-     -> per-(qid, doc) sum (partial aggregate) -> WindowGroupLimit top-k per qid.
-Hot terms never skew a task: every shuffle key includes the document id, and
-document frequency is a partial aggregate.
+     -> per-(qid, doc) sum -> WindowGroupLimit top-k per qid.
+The rows of (need, document, term) are many times the postings. All
+postings of a document lie in one task, so they are made and summed there
+and never shuffled; the number of tasks follows from their exact count, sum
+of df x needs of the term, so a task's share does not grow with the input.
+Hot terms never skew a task: postings are dealt by document, and document
+frequency is a partial aggregate.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import analyze as A
 from ..sources.store import stage
+from ..sources.tables import materialize
 from .joins import bounded_broadcast, row_count_at_most
 
 
@@ -81,13 +86,41 @@ def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None,
     )
 
 
-def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None,
+def _counted(terms: Column) -> Column:
+    """(term, tf) of an array of terms: it is sorted and cut where the value
+    changes, so the work stays inside the row and near linear."""
+    runs = F.transform(F.array(F.sort_array(terms)), lambda s: F.transform(
+        F.array(F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))),
+        lambda at: F.transform(at, lambda a, j: F.struct(
+            F.get(s, a - 1).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(s) + 1) - a).cast("long").alias("tf"))))[0])[0]
+    return F.when(F.size(terms) > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+
+def term_rows(texts: DataFrame, stopwords: Iterable[str] | None = None,
               analyzer: Analyzer | None = None) -> DataFrame:
-    """(doc, field, dl, term) one row per analyzed term occurrence."""
-    return (
-        texts.select("doc", "field", "_keep", _terms_of(F.col("text"), stopwords, analyzer).alias("terms"))
-        .select("doc", "field", "_keep", F.size("terms").alias("dl"), F.explode("terms").alias("term"))
-    )
+    """(field, term, doc, dl, _keep, tf): the counted terms of every text and
+    one null-term length row, without a shuffle and in document order. Texts
+    that share a key give a row each; readers add them up (``_merged``)."""
+    analyzed = materialize(texts, terms=_terms_of(F.col("text"), stopwords, analyzer))
+    length = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1).cast("long").alias("tf")))
+    return analyzed.select(
+        "field", "doc", F.size("terms").alias("dl"), "_keep", F.inline(F.concat(length, _counted(F.col("terms"))))
+    ).select("field", "term", "doc", "dl", "_keep", "tf")
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """Postings of texts with the same key and length added up. On rows dealt
+    by document this needs no shuffle."""
+    return rows.groupBy("field", "term", "doc", "dl", "_keep").agg(F.sum("tf").alias("tf"))
+
+
+def _by_doc(rows: DataFrame, n_rows: int) -> DataFrame:
+    """``rows`` dealt by document so that about TASK_ROWS of the ``n_rows``
+    made from them fall on a task, on at least one task per core. The count
+    is stated, as otherwise Spark merges partitions by their size before the
+    rows multiply."""
+    least = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(least, -(-int(n_rows) // config.TASK_ROWS)), "doc")
 
 
 def doc_positions(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
@@ -102,12 +135,14 @@ def doc_positions(texts: DataFrame, stopwords: Iterable[str] | None = None) -> D
 
 def postings(texts: DataFrame, terms: DataFrame | None = None,
              stopwords: Iterable[str] | None = None, analyzer: Analyzer | None = None) -> DataFrame:
-    """(field, term, doc, dl, tf). With ``terms`` (a ``term`` column, bounded
-    size) only those terms are kept before the shuffle."""
-    occ = doc_terms(texts, stopwords, analyzer)
+    """(field, term, doc, dl, _keep, tf). With ``terms`` (a ``term`` column,
+    bounded size) only those terms are kept. Postings are counted inside the
+    row; only where a key repeats are they shuffled and added up."""
+    repeated = not texts.groupBy("field", "doc").count().where("count > 1").isEmpty()
+    occ = term_rows(texts, stopwords, analyzer).where(F.col("term").isNotNull())
     if terms is not None:
         occ = occ.join(terms.select("term").distinct(), "term", "left_semi")
-    return occ.groupBy("field", "term", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("tf"))
+    return _merged(occ) if repeated else occ
 
 
 def _bm25_expr(tf: Column, dl: Column, df: Column, n: Column, avgdl: Column,
@@ -117,34 +152,18 @@ def _bm25_expr(tf: Column, dl: Column, df: Column, n: Column, avgdl: Column,
     return idf * tf / (tf + norm)
 
 
-def postings_with_lengths(texts: DataFrame, terms: DataFrame, small: bool,
-                          stopwords: Iterable[str] | None = None,
-                          analyzer: Analyzer | None = None) -> tuple[DataFrame, DataFrame]:
-    """One tokenization pass giving both the postings of ``terms`` and the
-    field statistics.
-
-    Every document contributes one extra row with a null term (its length
-    row), so N and avgdl come out of the same aggregate as tf. The result is
-    checkpointed to the shared checkpoint folder: statistics, document
-    frequencies and scores then read it instead of re-tokenizing the
-    corpus, and a lost executor does not send the job back to the scan.
-    The cut is a Parquet write to the shared checkpoint folder (one job, no
-    recomputation, vectorized reads).
-    Returns (postings(field, term, doc, dl, _keep, tf), stats(field, n_docs, avgdl)).
-    """
-    rows = texts.select("doc", "field", "_keep", _terms_of(F.col("text"), stopwords, analyzer).alias("terms")).select(
-        "doc", "field", "_keep", F.size("terms").alias("dl"),
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("terms"))).alias("term"),
-    )
+def query_rows(texts: DataFrame, terms: DataFrame, small: bool,
+               stopwords: Iterable[str] | None = None,
+               analyzer: Analyzer | None = None) -> DataFrame:
+    """``term_rows`` of the query terms and all length rows, from one
+    tokenization pass, written once to the shared checkpoint folder:
+    statistics, document frequencies and scores read it instead of
+    re-tokenizing the corpus, and a lost executor does not send the job back
+    to the scan."""
     flags = terms.select("term").distinct().withColumn("_q", F.lit(True))
-    flagged = rows.join(F.broadcast(flags) if small else flags, "term", "left")
+    flagged = term_rows(texts, stopwords, analyzer).join(F.broadcast(flags) if small else flags, "term", "left")
     kept = flagged.filter(F.col("term").isNull() | F.col("_q"))
-    agg = kept.groupBy("field", "term", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("tf"))
-    agg = stage(agg, "postings")
-    stats = agg.filter(F.col("term").isNull()).groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl")
-    )
-    return agg.filter(F.col("term").isNotNull()), stats
+    return stage(kept.select("field", "term", "doc", "dl", "_keep", "tf"), "postings")
 
 
 def build_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
@@ -153,23 +172,34 @@ def build_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
     for every analyzed term, plus one null-term length row per (doc, field)
     carrying dl, so field statistics come from the same table. Built once
     and stored (``sources.store.derived``); rankings then read it instead of
-    tokenizing the corpus."""
-    texts = field_texts(docs, key, fields)
-    rows = texts.select("doc", "field", _terms_of(F.col("text"), stopwords, analyzer).alias("terms")).select(
-        "doc", "field", F.size("terms").alias("dl"),
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("terms"))).alias("term"),
-    )
-    return rows.groupBy("field", "term", "doc", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    tokenizing the corpus. Nothing is shuffled, and rows stand in document
+    order, so the stored doc and dl columns are runs of equal values."""
+    return term_rows(field_texts(docs, key, fields), stopwords, analyzer).drop("_keep")
+
+
+def _statistics(rows: DataFrame, qterms: DataFrame, small: bool) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """(postings of the query terms, df per (field, term), field statistics,
+    whether postings still have to be merged) of ``term_rows`` rows.
+    ``qterms`` may name a ``field`` per term. Texts that share key and length
+    count as one document, which only then costs a shuffle."""
+    on = ["field", "term"] if "field" in qterms.columns else ["term"]
+    if "_keep" not in rows.columns:
+        rows = rows.withColumn("_keep", F.lit(True))
+    lengths = rows.filter(F.col("term").isNull()).groupBy("field", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("n"))
+    stats = stage(lengths.groupBy("field").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl"), F.max("n").alias("_most")), "stats")
+    repeated = (stats.agg(F.max("_most")).first()[0] or 1) > 1
+    terms = qterms.select(*on).distinct()
+    post = rows.filter(F.col("term").isNotNull()).join(F.broadcast(terms) if small else terms, on, "left_semi")
+    post = post.select("field", "term", "doc", "dl", "_keep", "tf")
+    dfs = stage((_merged(post) if repeated else post).groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), "dfs")
+    return post, dfs, stats.drop("_most"), repeated
 
 
 def index_postings(index: DataFrame, qterms: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
     """(postings of the query terms, field statistics) read from an index."""
-    terms = qterms.select("term").distinct()
-    post = index.filter(F.col("term").isNotNull()).join(F.broadcast(terms) if small else terms, "term", "left_semi")
-    stats = index.filter(F.col("term").isNull()).groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl")
-    )
-    return post.withColumn("_keep", F.lit(True)), stats
+    post, _, stats, repeated = _statistics(index, qterms, small)
+    return _merged(post) if repeated else post, stats
 
 
 def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
@@ -184,49 +214,49 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
     With ``index`` (from ``build_index`` over the same fields and analyzer)
     the postings come from the stored index instead of the documents.
     ``candidates`` (qid, doc) restricts the scored documents after the
-    statistics are taken, so filters never change idf or avgdl. When
-    ``qterms`` has a ``word`` column (several index terms per query word),
-    it is kept: (qid, doc, word, term, s)."""
+    statistics are taken, so filters never change idf or avgdl. The rows are
+    dealt by document, so sums per document need no shuffle."""
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
     if index is not None and keep is None:
-        post, stats = index_postings(index, qterms, small)
+        rows = index
     else:
-        texts = field_texts(docs, key, fields, keep)
-        post, stats = postings_with_lengths(texts, qterms, small, stopwords, analyzer)
-    return _score(post, stats, qterms, small, len(fields), weights, k1, b, candidates, keep is not None)
-
-
-def _score(post: DataFrame, stats: DataFrame, qterms: DataFrame, small: bool, n_fields: int,
-           weights: Mapping[str, float] | None, k1: float, b: float,
-           candidates: DataFrame | None, filtered: bool) -> DataFrame:
+        rows = query_rows(field_texts(docs, key, fields, keep), qterms, small, stopwords, analyzer)
+    post, dfs, stats, repeated = _statistics(rows, qterms, small)
+    if keep is not None:
+        post = post.filter(F.col("_keep"))
+    if candidates is not None:
+        post = post.join(bounded_broadcast(candidates.select("doc").distinct()), "doc", "left_semi")
+    else:
+        post = _by_doc(post, _rows_made(dfs, qterms, ["term"]))
+    if repeated:
+        post = _merged(post)
     weights = dict(weights or {})
-    qt = F.broadcast(qterms) if small else qterms
-    stats = F.broadcast(stats)  # one row per field
-    dfs = post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    dfs = F.broadcast(dfs) if small else dfs
     wcol = F.lit(1.0)
     for name, w in weights.items():
         wcol = F.when(F.col("field") == name, F.lit(float(w))).otherwise(wcol)
-    scored = (
-        post.join(dfs, ["field", "term"])
-        .join(stats, "field")
-        .join(qt, "term")
-    )
-    if filtered:
-        scored = scored.filter(F.col("_keep"))
+    scored = _scored(post, dfs, stats, qterms, small, ["term"], wcol, k1, b)
     if candidates is not None:
         scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
-    extra = ["word"] if "word" in qterms.columns else []
+    if len(fields) == 1:
+        return scored.select("qid", "doc", "term", "s")
+    return scored.groupBy("qid", "doc", "term").agg(F.max("s").alias("s"))
+
+
+def _rows_made(dfs: DataFrame, qterms: DataFrame, on: Sequence[str]) -> int:
+    """Rows of (need, document, term) that postings and query terms give."""
+    return dfs.join(qterms.groupBy(*on).agg(F.count(F.lit(1)).alias("n")), list(on)).agg(F.sum(F.col("df") * F.col("n"))).first()[0] or 0
+
+
+def _scored(post: DataFrame, dfs: DataFrame, stats: DataFrame, qterms: DataFrame, small: bool, on: Sequence[str],
+            weight: Column, k1: float = config.BM25_K1, b: float = config.BM25_B) -> DataFrame:
+    """Every posting with the query terms it answers and ``s``, its score."""
     scored = (
-        scored.select(
-            "qid", "doc", *extra, "term", "field",
-            (F.col("qtf") * wcol * _bm25_expr(F.col("tf"), F.col("dl"), F.col("df"),
-                                               F.col("n_docs"), F.col("avgdl"), k1, b)).alias("s"),
-        )
+        post.join(F.broadcast(dfs) if small else dfs, ["field", "term"])
+        .join(F.broadcast(stats), "field")  # one row per field
+        .join(F.broadcast(qterms) if small else qterms, list(on))
     )
-    if n_fields == 1:
-        return scored.select("qid", "doc", *extra, "term", "s")
-    return scored.groupBy("qid", "doc", *extra, "term").agg(F.max("s").alias("s"))
+    return scored.withColumn("s", F.col("qtf") * weight * _bm25_expr(
+        F.col("tf"), F.col("dl"), F.col("df"), F.col("n_docs"), F.col("avgdl"), k1, b))
 
 
 def bm25(docs: DataFrame, key: str, fields: Mapping[str, Column | str] | str,
@@ -263,7 +293,10 @@ def rerank(top: DataFrame, docs: DataFrame, key: str, field: Column | str, queri
     """WR14 / IR12: the first ``depth`` rows of a ranking get
     ``score + weight * second_score`` (second score 0 when the second query
     does not match), the others keep their score; then re-ranked. Only the
-    ``depth`` candidates per need are scored by the second query."""
+    ``depth`` candidates per need are scored by the second query. The first
+    ranking (at most a run's depth per need) is written once, as it is read
+    for the candidates and for the result."""
+    top = stage(top.select("qid", "doc", "rank", "score"), "ranking")
     cand = top.filter(F.col("rank") <= depth).select("qid", "doc")
     qterms = query_terms(queries, qid, text, stopwords)
     ts = bm25_term_scores(docs, key, {"second": field}, qterms, stopwords=stopwords, candidates=cand)
@@ -323,22 +356,25 @@ def phrase_occurrences(texts: DataFrame | None, phrases: DataFrame, slop: int =
     """(qid, idx, doc, field, dist) one row per occurrence of a two-term
     phrase (t1 then t2 at distance gap .. gap + slop).
 
-    Each t1 position is expanded into its 1 + slop admissible t2 positions
-    and equi-joined on (doc, field, pos, term): linear in the number of
-    matching positions, never pairwise within a document."""
+    Positions of the phrases' terms are dealt by document; there each looks
+    at those that follow it within the phrases' distances, and the pairs of
+    neighbours are looked up among the phrases. Only real neighbours meet,
+    whatever the number of phrases that begin with a term, and positions are
+    shuffled once."""
     small = row_count_at_most(phrases, config.BROADCAST_MAX_ROWS)
     ph = F.broadcast(phrases) if small else phrases
     terms = phrases.select(F.col("t1").alias("term")).unionByName(phrases.select(F.col("t2").alias("term"))).distinct()
     src = positions if positions is not None else doc_positions(texts, stopwords)
-    pos = src.join(F.broadcast(terms) if small else terms, "term", "left_semi")
-    first = pos.join(ph, pos["term"] == ph["t1"]).select(
-        "qid", "idx", "doc", "field", "t2",
-        F.explode(F.sequence(F.col("pos") + F.col("gap"), F.col("pos") + F.col("gap") + F.lit(slop))).alias("p2"),
-        (F.col("pos")).alias("p1"),
+    pos = src.join(F.broadcast(terms) if small else terms, "term", "left_semi").where(F.col("doc").isNotNull())
+    pos = pos.select("doc", "field", "pos", "term")
+    low, high = phrases.agg(F.min("gap"), F.max("gap")).first()
+    ahead = Window.partitionBy("doc", "field").orderBy("pos").rangeBetween(low or 0, (high or 0) + int(slop))
+    near = _by_doc(pos, pos.count()).withColumn("next", F.collect_list(F.struct(F.col("pos").alias("p2"), F.col("term").alias("t2"))).over(ahead))
+    pairs = near.select("doc", "field", F.col("term").alias("t1"), F.col("pos").alias("p1"), F.inline("next")).select(
+        "doc", "field", "t1", "t2", (F.col("p2") - F.col("p1")).alias("dist")
     )
-    second = pos.select("doc", "field", F.col("pos").alias("p2"), F.col("term").alias("t2"))
-    return first.join(second, ["doc", "field", "p2", "t2"]).select(
-        "qid", "idx", "doc", "field", (F.col("p2") - F.col("p1")).alias("dist")
+    return pairs.join(ph, ["t1", "t2"]).where(F.col("dist").between(F.col("gap"), F.col("gap") + F.lit(slop))).select(
+        "qid", "idx", "doc", "field", "dist"
     )
 
 
@@ -361,8 +397,7 @@ def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
     if index is not None:
         post, stats = index_postings(index, qterms, small)
     else:
-        stats = field_stats(texts, stopwords)
-        post = postings(texts, F.broadcast(qterms) if small else qterms, stopwords)
+        post, stats = index_postings(query_rows(texts, qterms, small, stopwords), qterms, small)
     stats = F.broadcast(stats)
     dfs = F.broadcast(post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
     lens = post.select("doc", "field", "dl").distinct()
@@ -391,6 +426,23 @@ def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
     return per.groupBy("qid", "doc").agg(F.sum("s").alias("s"))
 
 
+def with_boost(scored: DataFrame, boost: DataFrame) -> DataFrame:
+    """(qid, doc, score) with the boost (qid, doc, s) of a row added. A
+    document's boosts travel as one row, so the join is by document alone
+    and the scored rows, dealt by document, stay where they are."""
+    held = boost.where(F.col("qid").isNotNull()).groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("qid", "s"))).alias("_held"))
+    return scored.join(held, "doc", "left").select(
+        "qid", "doc", (F.col("score") + F.coalesce(F.try_element_at("_held", F.col("qid")), F.lit(0.0))).alias("score")
+    )
+
+
+def without(scored: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Scored rows but those of ``excluded`` (qid, doc), joined by document
+    like ``with_boost``."""
+    held = excluded.groupBy("doc").agg(F.collect_set("qid").alias("_held"))
+    return scored.join(held, "doc", "left").where(~F.coalesce(F.array_contains("_held", F.col("qid")), F.lit(False))).select(*scored.columns)
+
+
 def best_child(children: DataFrame, parent_key: str, child_key: Sequence[str] | str, text: str,
                queries: DataFrame, qid: str = "qid", qtext: str = "text", min_match: int = 1,
                stopwords: Iterable[str] | None = None) -> DataFrame:
@@ -441,28 +493,41 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
     ``gram_weight`` x the field's weight) scores the sum of the word's
     n-grams; summed over words. (qid, doc, score).
 
+    A word's score in a document does not depend on the need, so it is made
+    once per distinct word and then handed to the needs that hold the word.
+    All of it happens where the document's postings were dealt.
+
     ``fields``/``weights`` default to the single ``field`` with weight 1."""
     fields = dict(fields) if fields is not None else {"text": field}
     weights = {f: float((weights or {}).get(f, 1.0)) for f in fields}
     words = query_words(queries, qid, text, stopwords)
-    qt_text = words.select("qid", "word", A.stem(F.col("word")).alias("term"), "qtf")
-    qt_gram = (
-        words.select("qid", "word", "qtf", F.explode(A.char_ngrams(F.col("word"), n)).alias("term"))
-        .groupBy("qid", "word", "term").agg(F.sum("qtf").alias("qtf"))
-    )
+    word = words.select("word").distinct()
+    grams = word.select("word", F.explode(A.char_ngrams(F.col("word"), n)).alias("term")).groupBy("word", "term").agg(F.count(F.lit(1)).alias("qtf"))
+    stems = word.select("word", A.stem(F.col("word")).alias("term"), F.lit(1).cast("long").alias("qtf"))
+    asked = None
+    for name in fields:
+        for f, part in ((name, stems), (name + "_gram", grams)):
+            part = part.select(F.lit(f).alias("field"), "word", "term", "qtf")
+            asked = part if asked is None else asked.unionByName(part)
+    small = row_count_at_most(asked, config.BROADCAST_MAX_ROWS)
     indexes = dict(indexes or {})
-    s_text = bm25_term_scores(docs, key, fields, qt_text, weights if len(fields) > 1 else None,
-                              stopwords=stopwords, index=indexes.get("stemmed")).select("qid", "doc", "word", "s")
-    if len(fields) == 1:
-        s_text = s_text.withColumn("s", F.col("s") * F.lit(weights[next(iter(fields))]))
-    parts = [s_text]
+    if "stemmed" not in indexes:
+        indexes["stemmed"] = query_rows(field_texts(docs, key, fields), stems, small, stopwords)
+    rows = indexes["stemmed"].select("field", "term", "doc", "dl", "tf")
     for name, col in fields.items():
-        s_gram = bm25_term_scores(docs, key, {name + "_gram": col}, qt_gram, stopwords=stopwords,
-                                  analyzer=gram_analyzer(n, stopwords), index=indexes.get(name + "_gram"))
-        w = gram_weight * weights[name]
-        parts.append(s_gram.groupBy("qid", "doc", "word").agg((F.sum("s") * F.lit(w)).alias("s")))
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    per_word = both.groupBy("qid", "doc", "word").agg(F.max("s").alias("s"))
-    return per_word.groupBy("qid", "doc").agg(F.sum("s").alias("score"))
+        gram = indexes.get(name + "_gram")
+        if gram is None:
+            gram = query_rows(field_texts(docs, key, {name + "_gram": col}), grams, small, stopwords, gram_analyzer(n, stopwords))
+        rows = rows.unionByName(gram.select("field", "term", "doc", "dl", "tf"))
+    post, dfs, stats, repeated = _statistics(rows, asked, small)
+    made = _rows_made(dfs, asked, ["field", "term"])
+    pairs = words.select("qid").distinct().count() * (stats.agg(F.max("n_docs")).first()[0] or 0)
+    post = _by_doc(post, max(made, pairs))
+    if repeated:
+        post = _merged(post)
+    scored = _scored(post, dfs, stats, asked, small, ["field", "term"], F.lit(1.0))
+    of_field = [F.sum(F.when(F.col("field") == f, F.col("s"))) * F.lit(w)
+                for name in fields for f, w in ((name, weights[name]), (name + "_gram", gram_weight * weights[name]))]
+    per_word = scored.groupBy("doc", "word").agg(F.greatest(*of_field).alias("s"))
+    return per_word.join(F.broadcast(words) if small else words, "word").groupBy("qid", "doc").agg(
+        F.sum(F.col("qtf") * F.col("s")).alias("score"))

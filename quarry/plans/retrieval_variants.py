@@ -106,10 +106,10 @@ def phrase_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def negated_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PF12: ranking without documents containing any of the need's phrases
-    (left anti on (qid, doc))."""
+    (left anti by document)."""
     t = Tables(spark, sf_dir)
     scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))
-    return _run_columns(SR.top_k(scored.join(_phrase_docs(t), ["qid", "doc"], "left_anti")))
+    return _run_columns(SR.top_k(SR.without(scored, _phrase_docs(t))))
 
 
 @register(
@@ -148,10 +148,7 @@ def phrase_pair_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = SR.bm25(t.documents, "doc_id", "text", needs(t), index=corpus_index(t, "text"))
     ps = SR.phrase_scores(t.documents, "doc_id", {"text": "text"}, needs(t), slop=1,
                           index=corpus_index(t, "text"), positions=corpus_positions(t, "text"))
-    boosted = scored.join(ps, ["qid", "doc"], "left").select(
-        "qid", "doc", (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score")
-    )
-    return _run_columns(SR.top_k(boosted))
+    return _run_columns(SR.top_k(SR.with_boost(scored, ps)))
 
 
 _CHILD_KEY = "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)"

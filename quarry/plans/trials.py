@@ -57,9 +57,7 @@ def _scored(t: Tables, trial: str) -> DataFrame:
                               indexes=idx)
     else:
         return SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx).select("qid", "doc", "score")
-    return base.join(ps, ["qid", "doc"], "left").select(
-        "qid", "doc", (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score")
-    )
+    return SR.with_boost(base, ps)
 
 
 def trial_runs(t: Tables) -> DataFrame:

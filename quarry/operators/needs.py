@@ -117,17 +117,23 @@ def allowed(docs: DataFrame, key: str, needs: DataFrame, texts: Mapping[str, Col
         held = block.agg(F.collect_list(F.struct("qid", "filters")).alias("_needs")).withColumn("_k", F.lit(1))
         columns = [{n: F.col(f"{p}{n}") for n in kind} for p, kind in (("_t_", texts), ("_e_", exact), ("_n_", numbers))]
         own = rows.withColumn("_k", F.lit(1)).join(F.broadcast(held), "_k")
-        own = own.select("doc", F.transform(F.filter("_needs", lambda n: passes(n["filters"], *columns)), lambda n: n["qid"]).alias("qids")).where(F.size("qids") > 0)
+        qids = F.transform(F.filter("_needs", lambda n: passes(n["filters"], *columns)), lambda n: n["qid"])
+        # Behind a generator, else the filters run once to choose rows and once more for the result.
+        own = own.select(F.inline(F.array(F.struct("doc", qids.alias("qids"))))).where(F.size("qids") > 0)
         out = own if out is None else out.unionByName(own)
     return out
 
 
 def restricted(scored: DataFrame, needs: DataFrame, allowed_docs: DataFrame) -> DataFrame:
-    """Scored rows that pass their need's filters; scores do not change."""
+    """Scored rows that pass their need's filters; scores do not change. The
+    needs a document passes travel as one row, so the scored rows are made
+    once and, dealt by document, stay where they are."""
     marked = scored.join(F.broadcast(needs.select("qid", (F.size("filters") > 0).alias("_filtered"))), "qid")
-    free = marked.where(~F.col("_filtered")).drop("_filtered")
-    bound = marked.where("_filtered").drop("_filtered").join(allowed_docs, "doc").where(F.array_contains("qids", F.col("qid"))).drop("qids")
-    return free.unionByName(bound)
+    held = allowed_docs.where(F.col("doc").isNotNull()).groupBy("doc").agg(F.flatten(F.collect_list("qids")).alias("_held"))
+    # A document that stands in several rows gives each of them.
+    times = F.when(~F.col("_filtered"), F.lit(1)).otherwise(F.coalesce(F.size(F.filter("_held", lambda q: q == F.col("qid"))), F.lit(0)))
+    rows = marked.join(held, "doc", "left").withColumn("_times", times).where(F.col("_times") > 0)
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times")))).select(*scored.columns)
 
 
 def search(needs: DataFrame, docs: DataFrame, key: str, story: Column | str, kids: DataFrame, parent: str, child: str, child_text: str,

@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..operators import evaluate as EV
 from ..operators import judging as J
 from ..operators import needs as N
+from ..sources.store import stage
 from ..sources.tables import Tables
 from . import bm25_sql as B
 from . import sqlgen as S
@@ -39,7 +40,8 @@ def defined(t: Tables) -> DataFrame:
 def _run(t: Tables, setup: str) -> DataFrame:
     needs = defined(t)
     ok = N.allowed(t.documents, "doc_id", needs, {"lines": F.split("text", "\n")}, {"lang": F.array("lang")}, {"n_chars": F.col("n_chars")})
-    return N.search(needs, t.documents, "doc_id", plot(), t.conversations, "conv_id", "turn", "text", ok, overview() if setup == "B" else None)
+    # Read by the story and the child needs, so the filters run once.
+    return N.search(needs, t.documents, "doc_id", plot(), t.conversations, "conv_id", "turn", "text", stage(ok, "allowed"), overview() if setup == "B" else None)
 
 
 def _positioned(e: str) -> str:

@@ -56,6 +56,25 @@ def test_unknown_fields_and_filters_fail(spark, docs):
         passing(spark, docs, [f("regex", "plot", ["x"])])
 
 
+def test_filters_run_once_for_each_document(spark, docs):
+    needs = spark.createDataFrame([("Q", "x", "story", [f("phrase", "plot", ["russian mafia"])])], f"qid string, need string, source string, filters {N.FILTER_TYPE}")
+    got = N.allowed(docs, "doc", needs, {"plot": F.array("plot")}, {}, {})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("forall(") == 1
+
+
+def test_scored_rows_are_made_once(spark):
+    """Needs without and with filters, documents that stand in several rows
+    or have no id."""
+    needs = spark.createDataFrame([("free", []), ("bound", [f("term", "plot", ["x"])])], f"qid string, filters {N.FILTER_TYPE}")
+    scored = spark.range(1).selectExpr("inline(array(('free', 1L, 0.5D), ('free', null, 0.4D), ('bound', 1L, 0.3D), ('bound', 2L, 0.2D), ('bound', 3L, 0.1D), ('bound', null, 0.1D), ('other', 1L, 0.1D))) as (qid, doc, score)")
+    ok = spark.createDataFrame([(1, ["bound"]), (1, ["bound", "more"]), (2, ["more"]), (None, ["bound"])], "doc long, qids array<string>")
+    got = N.restricted(scored, needs, ok)
+    rows = sorted((r.qid, r.doc or 0, r.score) for r in got.collect())
+    assert rows == [("bound", 1, 0.3), ("bound", 1, 0.3), ("free", 0, 0.4), ("free", 1, 0.5)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
 def test_each_need_uses_its_source_and_filters(spark, docs, monkeypatch):
     monkeypatch.setattr(N, "NEEDS_BLOCK", 1)
     needs = spark.createDataFrame([

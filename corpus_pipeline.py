@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decision_list, decontamination, language, pieces, setsketch
 from quarry.llm.queries import vocabulary
-from quarry.llm.spread import stage
+from quarry.llm.spread import small_batches, stage
 
 # A document in which no language has this share of the text is rejected.
 LEAST_LANGUAGE = 0.3
@@ -28,12 +28,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@small_batches
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the base rules and the learned list."""
     rules = decision_list.learn(docs, _table(spark, sf_dir, "labels"))
     return decision_list.judge(docs, rules).where("kept").select("_row.*")
 
 
+@small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents with letters in which one language leads; the
     language model is learned from the documents with a known language."""
@@ -41,6 +43,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("lang") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select("_row.*")
 
 
+@small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group: the one with the
     smallest id, once if its row is repeated. Documents without an id are kept
@@ -56,12 +59,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.where("_rows = 1").unionByName(again).select(docs.columns)
 
 
+@small_batches
 def decontamination_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that are not contaminated by the benchmark."""
     found = decontamination.find(docs, _table(spark, sf_dir, "benchmark"))
     return found.where("not contaminated").select("_row.*")
 
 
+@small_batches
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the documents that are left."""
     return pieces.encode(docs, vocabulary(), carry=["doc_id"]).select("_row.doc_id", "n_tokens", "ids", "round_trip")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -21,6 +22,24 @@ def stage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of one Arrow batch of whole texts. The batch is held by the executor and
+# by its Python worker, once for each task at a time.
+ARROW_ROWS = 2_000
+
+
+def small_batches(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A step on (spark, ...) whose rows reach Python in batches of at most
+    ``ARROW_ROWS``. A smaller bound that the session has is kept."""
+    @functools.wraps(step)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        at = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(at)) <= ARROW_ROWS:
+            spark.conf.set(at, ARROW_ROWS)
+        return step(spark, *args)
+
+    return run
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], share: int = 1000) -> DataFrame:
     """Inner join of ``left`` with ``right``, which holds each key once.
 

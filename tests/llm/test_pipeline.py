@@ -4,8 +4,10 @@ the learned parts are taken from the models themselves."""
 import itertools
 
 import corpus_pipeline
+import pyarrow as pa
 from quarry.llm import decontamination, language, pieces
 from quarry.llm.queries import vocabulary
+from quarry.llm.spread import ARROW_ROWS
 
 from .test_near_duplicates import sets_of
 from .test_quality_rules import brute
@@ -57,3 +59,17 @@ def test_near_dedup_decides_by_id_and_text(spark, prose):
     want = [(1, a), (None, b), (2, d), (5, e), (6, f), (6, g), (8, k), (None, None), (None, ""), (9, None), (9, "")]
     assert sorted(map(repr, got)) == sorted(map(repr, want + near))
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").collect() == []
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    at = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches)
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    old = spark.conf.get(at)
+    try:
+        for set_to, most in (("10000", ARROW_ROWS), ("0", ARROW_ROWS), ("500", 500)):
+            spark.conf.set(at, set_to)
+            corpus_pipeline.language_id(spark, docs, "")
+            assert spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0] == most
+    finally:
+        spark.conf.set(at, old)

@@ -47,7 +47,8 @@ def stopword_array(stopwords: Iterable[str] | None = None) -> Column:
 
 
 def is_stopword(term: Column, stopwords: Iterable[str] | None = None) -> Column:
-    return F.array_contains(stopword_array(stopwords), term)
+    """Looked up in a set of the words, not along a list of them."""
+    return term.isin(*(config.ANALYZER_STOPWORDS if stopwords is None else tuple(stopwords)))
 
 
 def stem(term: Column) -> Column:
@@ -72,15 +73,13 @@ def stem(term: Column) -> Column:
 
 def analyze(col: Column | str, stopwords: Iterable[str] | None = None) -> Column:
     """Analyzed terms of a text (array<string>), stopwords removed, stemmed."""
-    stop = stopword_array(stopwords)
-    kept = F.filter(raw_tokens(col), lambda t: ~F.array_contains(stop, t))
+    kept = F.filter(raw_tokens(col), lambda t: ~is_stopword(t, stopwords))
     return F.transform(kept, stem)
 
 
 def analyzed_length(col: Column | str, stopwords: Iterable[str] | None = None) -> Column:
     """Field length = number of analyzed terms (stopwords do not count)."""
-    stop = stopword_array(stopwords)
-    return F.size(F.filter(raw_tokens(col), lambda t: ~F.array_contains(stop, t)))
+    return F.size(F.filter(raw_tokens(col), lambda t: ~is_stopword(t, stopwords)))
 
 
 def char_ngrams(term: Column, n: int = 3) -> Column:

@@ -86,14 +86,16 @@ def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None,
     )
 
 
-def _counted(terms: Column) -> Column:
-    """(term, tf) of an array of terms: it is sorted and cut where the value
-    changes, so the work stays inside the row and near linear."""
-    runs = F.transform(F.array(F.sort_array(terms)), lambda s: F.transform(
-        F.array(F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))),
-        lambda at: F.transform(at, lambda a, j: F.struct(
-            F.get(s, a - 1).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(s) + 1) - a).cast("long").alias("tf"))))[0])[0]
-    return F.when(F.size(terms) > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+_SEP = "\x00"  # no analyzer gives terms that hold it
+
+
+def _runs(terms: Column) -> Column:
+    """An array of terms sorted, joined and cut where the value changes: one
+    string for each distinct term, which repeats (separator, term) as often as
+    it occurs."""
+    joined = F.concat(F.lit(_SEP), F.array_join(F.sort_array(terms), _SEP))
+    runs = F.regexp_extract_all(joined, F.lit(f"({_SEP}[^{_SEP}]*)(?:\\1(?![^{_SEP}]))*+"), 0)
+    return F.when(F.size(terms) > 0, runs).otherwise(F.array().cast("array<string>"))
 
 
 def term_rows(texts: DataFrame, stopwords: Iterable[str] | None = None,
@@ -102,10 +104,11 @@ def term_rows(texts: DataFrame, stopwords: Iterable[str] | None = None,
     one null-term length row, without a shuffle and in document order. Texts
     that share a key give a row each; readers add them up (``_merged``)."""
     analyzed = materialize(texts, terms=_terms_of(F.col("text"), stopwords, analyzer))
-    length = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1).cast("long").alias("tf")))
-    return analyzed.select(
-        "field", "doc", F.size("terms").alias("dl"), "_keep", F.inline(F.concat(length, _counted(F.col("terms"))))
-    ).select("field", "term", "doc", "dl", "_keep", "tf")
+    length = F.array(F.lit(None).cast("string"))
+    runs = analyzed.select("field", "doc", F.size("terms").alias("dl"), "_keep", F.explode(F.concat(length, _runs(F.col("terms")))).alias("_run"))
+    one = F.substring_index("_run", _SEP, 2)
+    times = (F.octet_length("_run") / F.octet_length(one)).cast("long")
+    return runs.select("field", F.substring(one, 2, (1 << 31) - 1).alias("term"), "doc", "dl", "_keep", F.coalesce(times, F.lit(1).cast("long")).alias("tf"))
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -125,10 +128,9 @@ def _by_doc(rows: DataFrame, n_rows: int) -> DataFrame:
 
 def doc_positions(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
     """(doc, field, pos, term): positions counted before stopword removal."""
-    stop = A.stopword_array(stopwords)
     return (
         texts.select("doc", "field", "_keep", F.posexplode(A.raw_tokens("text")).alias("pos", "tok"))
-        .filter(~F.array_contains(stop, F.col("tok")))
+        .filter(~A.is_stopword(F.col("tok"), stopwords))
         .select("doc", "field", "_keep", "pos", A.stem(F.col("tok")).alias("term"))
     )
 
@@ -249,14 +251,16 @@ def _rows_made(dfs: DataFrame, qterms: DataFrame, on: Sequence[str]) -> int:
 
 def _scored(post: DataFrame, dfs: DataFrame, stats: DataFrame, qterms: DataFrame, small: bool, on: Sequence[str],
             weight: Column, k1: float = config.BM25_K1, b: float = config.BM25_B) -> DataFrame:
-    """Every posting with the query terms it answers and ``s``, its score."""
-    scored = (
+    """Every posting with the query terms it answers and ``s``, its score. What
+    does not depend on the need is made once per posting, before that join."""
+    worth = (
         post.join(F.broadcast(dfs) if small else dfs, ["field", "term"])
         .join(F.broadcast(stats), "field")  # one row per field
-        .join(F.broadcast(qterms) if small else qterms, list(on))
+        .select("field", "term", "doc", (weight * _bm25_expr(
+            F.col("tf"), F.col("dl"), F.col("df"), F.col("n_docs"), F.col("avgdl"), k1, b)).alias("_worth"))
     )
-    return scored.withColumn("s", F.col("qtf") * weight * _bm25_expr(
-        F.col("tf"), F.col("dl"), F.col("df"), F.col("n_docs"), F.col("avgdl"), k1, b))
+    scored = worth.join(F.broadcast(qterms) if small else qterms, list(on))
+    return scored.withColumn("s", F.col("qtf") * F.col("_worth"))
 
 
 def bm25(docs: DataFrame, key: str, fields: Mapping[str, Column | str] | str,
@@ -320,10 +324,9 @@ def query_positions(queries: DataFrame, qid: str = "qid", text: str = "text",
                     stopwords: Iterable[str] | None = None) -> DataFrame:
     """(qid, pos, term) of the analyzed query; positions before stopword
     removal."""
-    stop = A.stopword_array(stopwords)
     return (
         queries.select(F.col(qid).alias("qid"), F.posexplode(A.raw_tokens(text)).alias("pos", "tok"))
-        .filter(~F.array_contains(stop, F.col("tok")))
+        .filter(~A.is_stopword(F.col("tok"), stopwords))
         .select("qid", "pos", A.stem(F.col("tok")).alias("term"))
     )
 
@@ -343,6 +346,13 @@ def query_bigrams(queries: DataFrame, qid: str = "qid", text: str = "text",
     )
 
 
+def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
+    """(field, doc, terms): the analyzed words of a text in place, null where a
+    stopword stands, so a term's position is its place in the array."""
+    placed = F.transform(A.raw_tokens("text"), lambda t: F.when(~A.is_stopword(t, stopwords), A.stem(t)))
+    return materialize(texts.select("field", "doc", "text"), text=placed).withColumnRenamed("text", "terms")
+
+
 def build_position_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                          stopwords: Iterable[str] | None = None) -> DataFrame:
     """Positional index (field, term, doc, pos), positions counted before
@@ -461,10 +471,8 @@ def best_child(children: DataFrame, parent_key: str, child_key: Sequence[str] |
 def gram_analyzer(n: int = 3, stopwords: Iterable[str] | None = None) -> Analyzer:
     """IR13 analyzer: fold, lower, word tokens, stopwords removed, no stem,
     then the token-internal character n-grams of every token."""
-    stop = A.stopword_array(stopwords)
-
     def run(text: Column) -> Column:
-        kept = F.filter(A.raw_tokens(text), lambda t: ~F.array_contains(stop, t))
+        kept = F.filter(A.raw_tokens(text), lambda t: ~A.is_stopword(t, stopwords))
         return F.flatten(F.transform(kept, lambda t: A.char_ngrams(t, n)))
 
     return run
@@ -473,8 +481,7 @@ def gram_analyzer(n: int = 3, stopwords: Iterable[str] | None = None) -> Analyze
 def query_words(queries: DataFrame, qid: str = "qid", text: str = "text",
                 stopwords: Iterable[str] | None = None) -> DataFrame:
     """(qid, word, qtf): analyzed query words before stemming."""
-    stop = A.stopword_array(stopwords)
-    kept = F.filter(A.raw_tokens(text), lambda t: ~F.array_contains(stop, t))
+    kept = F.filter(A.raw_tokens(text), lambda t: ~A.is_stopword(t, stopwords))
     return (
         queries.select(F.col(qid).alias("qid"), F.explode(kept).alias("word"))
         .groupBy("qid", "word").agg(F.count(F.lit(1)).alias("qtf"))

@@ -136,3 +136,23 @@ def test_word_scores_are_made_once_per_word(spark):
                     want[qid, d[0]] = want.get((qid, d[0]), 0.0) + max(best)
     got = {(r.qid, r.doc): r.score for r in found.collect()}
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_terms_are_counted_by_runs(spark):
+    texts = ["s's s ss as s", "a.b a.b a b.a aa a.b", "x " * 3000 + "xs y", "the of", "es s es boats boat"]
+    idx = SR.build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", {"text": "text"})
+    assert "lambdafunction" not in plan(idx).split("Generate inline")[0]  # counts are made without functions of the row
+    stop = {"a", "as", "the", "of"}
+
+    def stem(w):
+        for end, back, put, but in (("ies", 3, "y", ("eies", "aies")), ("es", 1, "", ("aes", "ees", "oes")), ("s", 1, "", ("us", "ss"))):
+            if w.endswith(end) and not w.endswith(but):
+                return w[:-back] + put
+        return w
+
+    want = set()
+    for doc, text in enumerate(texts):
+        terms = [stem(w) for w in text.split() if w not in stop]
+        want |= {(doc, None, len(terms), 1)} | {(doc, x, len(terms), terms.count(x)) for x in terms}
+    assert {tuple(r) for r in idx.select("doc", "term", "dl", "tf").collect()} == want
+    assert idx.count() == len(want)

@@ -355,9 +355,9 @@ def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataF
 
 def build_position_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                          stopwords: Iterable[str] | None = None) -> DataFrame:
-    """Positional index (field, term, doc, pos), positions counted before
-    stopword removal; built once and stored like ``build_index``."""
-    return doc_positions(field_texts(docs, key, fields), stopwords).select("field", "term", "doc", "pos")
+    """Positional index (field, doc, terms), see ``doc_terms``; built once and
+    stored like ``build_index``."""
+    return doc_terms(field_texts(docs, key, fields), stopwords)
 
 
 def phrase_occurrences(texts: DataFrame | None, phrases: DataFrame, slop: int = 0,
@@ -366,26 +366,52 @@ def phrase_occurrences(texts: DataFrame | None, phrases: DataFrame, slop: int =
     """(qid, idx, doc, field, dist) one row per occurrence of a two-term
     phrase (t1 then t2 at distance gap .. gap + slop).
 
-    Positions of the phrases' terms are dealt by document; there each looks
-    at those that follow it within the phrases' distances, and the pairs of
-    neighbours are looked up among the phrases. Only real neighbours meet,
-    whatever the number of phrases that begin with a term, and positions are
-    shuffled once."""
+    A text's words stand in one row (``doc_terms``), so each looks there at
+    those that follow it at the phrases' distances, and the pairs of
+    neighbours are looked up among the phrases: only real neighbours meet,
+    whatever the number of phrases that begin with a term, and no position is
+    shuffled. Texts that share key and field count as one; only their
+    positions are dealt by document, where a window gives each its followers."""
     small = row_count_at_most(phrases, config.BROADCAST_MAX_ROWS)
     ph = F.broadcast(phrases) if small else phrases
+    keys = (texts if positions is None else positions).where(F.col("doc").isNotNull()).groupBy("doc", "field").count()
+    keys = stage(keys.where("count > 1").select("doc", "field"), "repeated")
+    src = (positions if positions is not None else doc_terms(texts, stopwords)).where(F.col("doc").isNotNull())
+    if keys.isEmpty():
+        pairs = _near_in_row(src, phrases, small, slop)
+    else:
+        keys = bounded_broadcast(keys)
+        pairs = _near_in_row(src.join(keys, ["doc", "field"], "left_anti"), phrases, small, slop).unionByName(
+            _near_by_doc(src.join(keys, ["doc", "field"], "left_semi"), phrases, small, slop))
+    return pairs.join(ph, ["t1", "t2"]).where(F.col("dist").between(F.col("gap"), F.col("gap") + F.lit(slop))).select(
+        "qid", "idx", "doc", "field", "dist"
+    )
+
+
+def _near_in_row(src: DataFrame, phrases: DataFrame, small: bool, slop: int) -> DataFrame:
+    """(doc, field, t1, t2, dist) of the words of a row that begin a phrase and
+    the words at the distances of such phrases."""
+    dists = F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("gap"), F.col("gap") + F.lit(int(slop)))))).alias("dists")
+    at = src.select("doc", "field", "terms", F.posexplode("terms").alias("p1", "t1")).where(F.col("t1").isNotNull())
+    at = at.join(F.broadcast(phrases.groupBy("t1").agg(dists)), "t1") if small else at.crossJoin(F.broadcast(phrases.agg(dists)))
+    near = at.select("doc", "field", "t1", "p1", "terms", F.explode("dists").alias("dist"))
+    near = near.select("doc", "field", "t1", F.get("terms", F.col("p1") + F.col("dist")).alias("t2"), "dist")
+    return near.where(F.col("t2").isNotNull())
+
+
+def _near_by_doc(src: DataFrame, phrases: DataFrame, small: bool, slop: int) -> DataFrame:
+    """The same across all texts of a key: positions of the phrases' terms are
+    dealt by document, and a window collects those that follow."""
     terms = phrases.select(F.col("t1").alias("term")).unionByName(phrases.select(F.col("t2").alias("term"))).distinct()
-    src = positions if positions is not None else doc_positions(texts, stopwords)
-    pos = src.join(F.broadcast(terms) if small else terms, "term", "left_semi").where(F.col("doc").isNotNull())
+    pos = src.select("doc", "field", F.posexplode("terms").alias("pos", "term")).where(F.col("term").isNotNull())
+    pos = pos.join(F.broadcast(terms) if small else terms, "term", "left_semi")
     pos = pos.select("doc", "field", "pos", "term")
     low, high = phrases.agg(F.min("gap"), F.max("gap")).first()
     ahead = Window.partitionBy("doc", "field").orderBy("pos").rangeBetween(low or 0, (high or 0) + int(slop))
     near = _by_doc(pos, pos.count()).withColumn("next", F.collect_list(F.struct(F.col("pos").alias("p2"), F.col("term").alias("t2"))).over(ahead))
-    pairs = near.select("doc", "field", F.col("term").alias("t1"), F.col("pos").alias("p1"), F.inline("next")).select(
+    return near.select("doc", "field", F.col("term").alias("t1"), F.col("pos").alias("p1"), F.inline("next")).select(
         "doc", "field", "t1", "t2", (F.col("p2") - F.col("p1")).alias("dist")
     )
-    return pairs.join(ph, ["t1", "t2"]).where(F.col("dist").between(F.col("gap"), F.col("gap") + F.lit(slop))).select(
-        "qid", "idx", "doc", "field", "dist"
-    )
 
 
 def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str], queries: DataFrame,

@@ -156,3 +156,13 @@ def test_terms_are_counted_by_runs(spark):
         want |= {(doc, None, len(terms), 1)} | {(doc, x, len(terms), terms.count(x)) for x in terms}
     assert {tuple(r) for r in idx.select("doc", "term", "dl", "tf").collect()} == want
     assert idx.count() == len(want)
+
+
+def test_phrases_of_single_rows_shuffle_no_position(spark):
+    rows = [(1, "river the boat race"), (2, "boat of river boat"), (3, ""), (None, "river boat")]
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    index = SR.build_position_index(once, "doc_id", {"text": "text"})
+    pairs = SR.query_bigrams(spark.createDataFrame([(1, "river the boat"), (2, "river boat race")], "qid long, text string"))
+    occ = SR.phrase_occurrences(None, pairs, 1, positions=index)
+    assert "hashpartitioning(doc" not in plan(occ) and "Window" not in plan(occ).split("BroadcastExchange")[0]
+    assert sorted((r.qid, r.idx, r.doc, r.dist) for r in occ.collect()) == [(1, 0, 1, 2), (2, 0, 1, 2), (2, 0, 2, 1), (2, 1, 1, 1)]

@@ -50,6 +50,7 @@ FREQUENT = 200_000
 SHARE = 1000
 LOCAL = 4 * SHARE  # a block reports what has more than one in so many of its tokens
 PACK_BYTES = 8_000_000  # text of one row of packed pairs
+COUNT_BYTES = 3_000_000  # text of one block that is counted
 
 END, BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0x0FEDCBA987654321)
 _FP = np.uint64(24)  # a fingerprint is the top 40 bits of a hash
@@ -128,7 +129,7 @@ def _counts(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             training = batch.column(1).to_numpy(zero_copy_only=False)
-            for b in tokens.blocks(batch.column(0), PACK_BYTES):
+            for b in tokens.blocks(batch.column(0), COUNT_BYTES):
                 rows, own = _sequence(b, order)
                 yield row(0, np.zeros(1, np.uint64), [len(own)])
                 yield row(1, *np.unique(rows[0][training[b.first + own]], return_counts=True))

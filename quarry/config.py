@@ -78,4 +78,4 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 # Rows that one task makes out of its postings (about 100 bytes each in a hash
 # aggregate or a sort); the number of tasks follows from it.
-TASK_ROWS = 2_000_000
+TASK_ROWS = 1_000_000

@@ -29,16 +29,23 @@ def _c(col: Column | str) -> Column:
 
 def fold(col: Column | str) -> Column:
     """Lower-case and strip accents (letters only, never changes token
-    boundaries)."""
-    c = F.translate(F.lower(_c(col)), config.FOLD_FROM, config.FOLD_TO)
+    boundaries). ASCII texts have no accents to look for."""
+    low = F.lower(_c(col))
+    c = F.translate(low, config.FOLD_FROM, config.FOLD_TO)
     for a, b in config.MULTI_FOLDS:
         c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    return F.when(F.octet_length(_c(col)) == F.char_length(_c(col)), low).otherwise(c)
+
+
+# The tokens of config.TOKEN_PATTERN in lower-cased text: ASCII characters are
+# looked up in a table first, and nothing found is given back.
+_WORD = r"[[abcdefghijklmnopqrstuvwxyz0123456789_][\p{L}\p{N}]]++"
+_TOKENS = rf"{_WORD}(?:['’.]{_WORD})*+"
 
 
 def raw_tokens(col: Column | str) -> Column:
     """Folded word tokens in text order, stopwords included (array<string>)."""
-    return F.regexp_extract_all(fold(col), F.lit(config.TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(fold(col), F.lit(_TOKENS), 0)
 
 
 def stopword_array(stopwords: Iterable[str] | None = None) -> Column:

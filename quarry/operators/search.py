@@ -86,29 +86,21 @@ def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None,
     )
 
 
-_SEP = "\x00"  # no analyzer gives terms that hold it
-
-
-def _runs(terms: Column) -> Column:
-    """An array of terms sorted, joined and cut where the value changes: one
-    string for each distinct term, which repeats (separator, term) as often as
-    it occurs."""
-    joined = F.concat(F.lit(_SEP), F.array_join(F.sort_array(terms), _SEP))
-    runs = F.regexp_extract_all(joined, F.lit(f"({_SEP}[^{_SEP}]*)(?:\\1(?![^{_SEP}]))*+"), 0)
-    return F.when(F.size(terms) > 0, runs).otherwise(F.array().cast("array<string>"))
-
-
 def term_rows(texts: DataFrame, stopwords: Iterable[str] | None = None,
               analyzer: Analyzer | None = None) -> DataFrame:
     """(field, term, doc, dl, _keep, tf): the counted terms of every text and
-    one null-term length row, without a shuffle and in document order. Texts
-    that share a key give a row each; readers add them up (``_merged``)."""
-    analyzed = materialize(texts, terms=_terms_of(F.col("text"), stopwords, analyzer))
-    length = F.array(F.lit(None).cast("string"))
-    runs = analyzed.select("field", "doc", F.size("terms").alias("dl"), "_keep", F.explode(F.concat(length, _runs(F.col("terms")))).alias("_run"))
-    one = F.substring_index("_run", _SEP, 2)
-    times = (F.octet_length("_run") / F.octet_length(one)).cast("long")
-    return runs.select("field", F.substring(one, 2, (1 << 31) - 1).alias("term"), "doc", "dl", "_keep", F.coalesce(times, F.lit(1).cast("long")).alias("tf"))
+    one null-term length row, without a shuffle and in document order. The
+    terms are sorted and looked at once for the places where the value changes;
+    a term occurs as often as it is far to the next such place. Texts that
+    share a key give a row each; readers add them up (``_merged``)."""
+    analyzed = materialize(texts.select("field", "doc", "text", "_keep"), text=F.sort_array(_terms_of(F.col("text"), stopwords, analyzer)))
+    analyzed = analyzed.withColumnRenamed("text", "terms")
+    new = F.transform("terms", lambda t, i: F.when((i == 0) | (t != F.get("terms", i - 1)), i))
+    length = F.array(F.lit(-1))  # the place of the length row
+    starts = materialize(analyzed.withColumn("starts", F.lit(None)), starts=F.concat(length, F.filter(new, lambda i: i.isNotNull())))
+    at = starts.select("field", "doc", "_keep", "terms", F.size("terms").alias("dl"), "starts", F.posexplode("starts").alias("_nth", "_at"))
+    times = F.coalesce(F.get("starts", F.col("_nth") + 1), F.col("dl")) - F.col("_at")
+    return at.select("field", F.get("terms", "_at").alias("term"), "doc", "dl", "_keep", F.when(F.col("_at") < 0, 1).otherwise(times).cast("long").alias("tf"))
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -179,11 +171,13 @@ def build_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
     return term_rows(field_texts(docs, key, fields), stopwords, analyzer).drop("_keep")
 
 
-def _statistics(rows: DataFrame, qterms: DataFrame, small: bool) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+def _statistics(rows: DataFrame, qterms: DataFrame, small: bool, write: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
     """(postings of the query terms, df per (field, term), field statistics,
     whether postings still have to be merged) of ``term_rows`` rows.
     ``qterms`` may name a ``field`` per term. Texts that share key and length
-    count as one document, which only then costs a shuffle."""
+    count as one document, which only then costs a shuffle. With ``write`` the
+    postings are written once, so that a whole index is not searched for them
+    by each of their readers."""
     on = ["field", "term"] if "field" in qterms.columns else ["term"]
     if "_keep" not in rows.columns:
         rows = rows.withColumn("_keep", F.lit(True))
@@ -194,6 +188,8 @@ def _statistics(rows: DataFrame, qterms: DataFrame, small: bool) -> tuple[DataFr
     terms = qterms.select(*on).distinct()
     post = rows.filter(F.col("term").isNotNull()).join(F.broadcast(terms) if small else terms, on, "left_semi")
     post = post.select("field", "term", "doc", "dl", "_keep", "tf")
+    if write:
+        post = stage(post, "matched")
     dfs = stage((_merged(post) if repeated else post).groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), "dfs")
     return post, dfs, stats.drop("_most"), repeated
 
@@ -219,11 +215,9 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
     statistics are taken, so filters never change idf or avgdl. The rows are
     dealt by document, so sums per document need no shuffle."""
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
-    if index is not None and keep is None:
-        rows = index
-    else:
-        rows = query_rows(field_texts(docs, key, fields, keep), qterms, small, stopwords, analyzer)
-    post, dfs, stats, repeated = _statistics(rows, qterms, small)
+    stored = index is not None and keep is None
+    rows = index if stored else query_rows(field_texts(docs, key, fields, keep), qterms, small, stopwords, analyzer)
+    post, dfs, stats, repeated = _statistics(rows, qterms, small, write=stored)
     if keep is not None:
         post = post.filter(F.col("_keep"))
     if candidates is not None:
@@ -236,12 +230,13 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
     wcol = F.lit(1.0)
     for name, w in weights.items():
         wcol = F.when(F.col("field") == name, F.lit(float(w))).otherwise(wcol)
-    scored = _scored(post, dfs, stats, qterms, small, ["term"], wcol, k1, b)
+    worth = _worth(post, dfs, stats, small, wcol, k1, b)
+    if len(fields) > 1:  # qtf is the same for all fields, so the best field is found before the needs
+        worth = worth.groupBy("doc", "term").agg(F.max("_worth").alias("_worth"))
+    scored = _asked(worth, qterms, small, ["term"])
     if candidates is not None:
         scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
-    if len(fields) == 1:
-        return scored.select("qid", "doc", "term", "s")
-    return scored.groupBy("qid", "doc", "term").agg(F.max("s").alias("s"))
+    return scored.select("qid", "doc", "term", "s")
 
 
 def _rows_made(dfs: DataFrame, qterms: DataFrame, on: Sequence[str]) -> int:
@@ -249,16 +244,20 @@ def _rows_made(dfs: DataFrame, qterms: DataFrame, on: Sequence[str]) -> int:
     return dfs.join(qterms.groupBy(*on).agg(F.count(F.lit(1)).alias("n")), list(on)).agg(F.sum(F.col("df") * F.col("n"))).first()[0] or 0
 
 
-def _scored(post: DataFrame, dfs: DataFrame, stats: DataFrame, qterms: DataFrame, small: bool, on: Sequence[str],
-            weight: Column, k1: float = config.BM25_K1, b: float = config.BM25_B) -> DataFrame:
-    """Every posting with the query terms it answers and ``s``, its score. What
-    does not depend on the need is made once per posting, before that join."""
-    worth = (
+def _worth(post: DataFrame, dfs: DataFrame, stats: DataFrame, small: bool, weight: Column,
+           k1: float = config.BM25_K1, b: float = config.BM25_B) -> DataFrame:
+    """(field, term, doc, _worth): what a posting adds to a score, whatever the
+    need, made once per posting."""
+    return (
         post.join(F.broadcast(dfs) if small else dfs, ["field", "term"])
         .join(F.broadcast(stats), "field")  # one row per field
         .select("field", "term", "doc", (weight * _bm25_expr(
             F.col("tf"), F.col("dl"), F.col("df"), F.col("n_docs"), F.col("avgdl"), k1, b)).alias("_worth"))
     )
+
+
+def _asked(worth: DataFrame, qterms: DataFrame, small: bool, on: Sequence[str]) -> DataFrame:
+    """Every posting with the query terms it answers and ``s``, its score."""
     scored = worth.join(F.broadcast(qterms) if small else qterms, list(on))
     return scored.withColumn("s", F.col("qtf") * F.col("_worth"))
 
@@ -558,7 +557,7 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
     post = _by_doc(post, max(made, pairs))
     if repeated:
         post = _merged(post)
-    scored = _scored(post, dfs, stats, asked, small, ["field", "term"], F.lit(1.0))
+    scored = _asked(_worth(post, dfs, stats, small, F.lit(1.0)), asked, small, ["field", "term"])
     of_field = [F.sum(F.when(F.col("field") == f, F.col("s"))) * F.lit(w)
                 for name in fields for f, w in ((name, weights[name]), (name + "_gram", gram_weight * weights[name]))]
     per_word = scored.groupBy("doc", "word").agg(F.greatest(*of_field).alias("s"))

@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import functions as F
 
+from quarry import config
+from quarry.functions import analyze as A
 from quarry.operators import search as SR
 
 DOCS = [
@@ -166,3 +168,40 @@ def test_phrases_of_single_rows_shuffle_no_position(spark):
     occ = SR.phrase_occurrences(None, pairs, 1, positions=index)
     assert "hashpartitioning(doc" not in plan(occ) and "Window" not in plan(occ).split("BroadcastExchange")[0]
     assert sorted((r.qid, r.idx, r.doc, r.dist) for r in occ.collect()) == [(1, 0, 1, 2), (2, 0, 1, 2), (2, 0, 2, 1), (2, 1, 1, 1)]
+
+
+def test_rankings_search_an_index_once(spark, tmp_path):
+    SR.build_index(docs(spark), "doc_id", {"text": "text"}).write.parquet(str(tmp_path / "index"))
+    ranked = SR.bm25(docs(spark), "doc_id", "text", needs(spark), index=spark.read.parquet(str(tmp_path / "index")))
+    files = ranked.inputFiles()
+    assert any("/matched-" in f for f in files) and not any("/index/" in f for f in files)
+    assert {(r.qid, r.doc) for r in ranked.collect()} == {(q, d) for q in (1, 2, 3) for d in (1, 2, 3, None)}
+
+
+def test_best_field_is_found_before_the_needs(spark):
+    fields, weights = {"head": F.substring_index("text", " ", 1), "all": F.col("text")}, {"head": 3.0, "all": 1.0}
+    both = SR.bm25(docs(spark), "doc_id", fields, needs(spark), weights=weights)
+    assert "keys=[qid, doc, term" not in plan(both) and "keys=[doc, term" in plan(both)
+    want = {}
+    qterms = SR.query_terms(needs(spark))
+    for name, col in fields.items():
+        ts = SR.bm25_term_scores(docs(spark), "doc_id", {name: col}, qterms, weights)
+        for r in ts.collect():
+            key = (r.qid, r.doc, r.term)
+            want[key] = max(want.get(key, 0.0), r.s)
+    got = {(r.qid, r.doc): r.score for r in both.collect()}
+    assert set(got) == {k[:2] for k in want}
+    assert all(abs(got[k] - sum(s for x, s in want.items() if x[:2] == k)) < 1e-9 for k in got)
+
+
+def test_terms_are_counted_without_a_second_pattern(spark):
+    texts = ["b a b b", "", "s", "a.b’c a.b’c it's İstanbul Straße Æon øre x_1 ²½ 東京 9.5.", "the of", "É é é 'q' r..s"]
+    idx = SR.build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", {"text": "text"})
+    assert "\\1" not in plan(idx)
+    whole = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(
+        "doc_id", F.regexp_extract_all(F.replace(F.replace(F.replace(F.translate(F.lower("text"), config.FOLD_FROM, config.FOLD_TO),
+            F.lit("ß"), F.lit("ss")), F.lit("æ"), F.lit("ae")), F.lit("œ"), F.lit("oe")), F.lit(config.TOKEN_PATTERN), 0).alias("tokens"),
+        A.raw_tokens("text").alias("raw"), A.analyze("text").alias("terms")).collect()
+    assert all(r.tokens == r.raw for r in whole)
+    want = {(r.doc_id, None, len(r.terms), 1) for r in whole} | {(r.doc_id, x, len(r.terms), r.terms.count(x)) for r in whole for x in r.terms}
+    assert {tuple(r) for r in idx.select("doc", "term", "dl", "tf").collect()} == want and idx.count() == len(want)

@@ -191,25 +191,37 @@ def _hot(rows: DataFrame, counts: DataFrame, total: int, order: int) -> dict[int
     return {k: of(some, k) for k in kinds}
 
 
-def _five(x: np.ndarray) -> bytes:
-    """40-bit numbers, five bytes each."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _unfive(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(x, np.uint8).reshape(-1, 5)
-    return out.view("<u8").reshape(-1).astype(np.uint64)
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 def _small(x: np.ndarray) -> bytes:
-    """Numbers from 0 on in as few bytes as the largest needs, after that size."""
+    """Numbers from 0 on in as few bytes as the largest needs, after that size
+    and their count: the last bytes of all, then the next ones, compressed."""
     size = next(w for w in (1, 2, 4, 8) if not len(x) or int(x.max()) < 1 << 8 * w)
-    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+    planes = np.ascontiguousarray(x.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T)
+    return bytes([size]) + len(x).to_bytes(8, "little") + _ZSTD.compress(planes, asbytes=True)
 
 
 def _unsmall(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64)
+    size, n = x[0], int.from_bytes(x[1:9], "little")
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(_ZSTD.decompress(x[9:], n * size, asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{size}").reshape(-1).astype(np.int64)
+
+
+def _spelt(words: np.ndarray, grams: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted words and grams of their numbers. Words, and the nearest context
+    words, by which grams are mostly sorted, as steps from one to the next."""
+    grams = grams.astype(np.int64)
+    grams[1] = np.diff(grams[1], prepend=0) % max(1, len(words))
+    return _small(np.diff(words, prepend=np.uint64(0))), _small(grams.reshape(-1))
+
+
+def _unspelt(words: bytes, grams: bytes, k: int) -> np.ndarray:
+    w, g = np.cumsum(_unsmall(words)).astype(np.uint64), _unsmall(grams).reshape(k, -1)
+    g[1] = np.cumsum(g[1]) % max(1, len(w))
+    return w[g]
 
 
 _BLOBS = ["keys", "words", "grams", "counts", "many", "owner", "times"]
@@ -256,7 +268,7 @@ def _packed(g: np.ndarray, owner: np.ndarray, times: np.ndarray, counts: np.ndar
         mine = slice(ends[lo], ends[hi])
         texts, who = np.unique(owner[mine], return_inverse=True)
         words, spelt = np.unique(g[:, gram[lo:hi]], return_inverse=True)
-        yield (int(shard[gram[lo]]), keys[texts].tobytes(), _five(words), _small(spelt.reshape(-1)), _small(counts[lo:hi]), _small(many[lo:hi]), _small(who), _small(times[mine]))
+        yield (int(shard[gram[lo]]), keys[texts].tobytes(), *_spelt(words, spelt.reshape(len(g), -1)), _small(counts[lo:hi]), _small(many[lo:hi]), _small(who), _small(times[mine]))
 
 
 def _packer(order: int, shards: int, shared):
@@ -287,7 +299,7 @@ def _shard(order: int, shards: int, shared):
         rows = {c: table.column(c).to_pylist() for c in _BLOBS}
         texts = [np.frombuffer(x, np.int64) for x in rows["keys"]]
         keys, base = np.concatenate(texts), np.cumsum([0] + [len(x) for x in texts])
-        g = np.concatenate([_unfive(w)[_unsmall(x)].reshape(k, -1) for w, x in zip(rows["words"], rows["grams"])], axis=1)
+        g = np.concatenate([_unspelt(w, x, k) for w, x in zip(rows["words"], rows["grams"])], axis=1)
         n, many, times = (np.concatenate([_unsmall(x) for x in rows[c]]) for c in ("counts", "many", "times"))
         owner = np.concatenate([_unsmall(x) + o for x, o in zip(rows["owner"], base)])
         del rows, texts

@@ -135,3 +135,18 @@ def test_query_scores_trigrams(spark, docs_of, prose, monkeypatch):
     got = sorted((r.doc_id, r.n_tokens, r.score) for r in queries.QUERIES["op3_ngram_scores"](spark, "").collect())
     for a, b in zip(got, brute_order(rows, 3), strict=True):
         assert a[0] == b[0] and abs(a[2] - b[1]) < 0.01 * a[1] + 0.02
+
+
+def test_packed_grams_are_read_back_and_small():
+    rng = np.random.default_rng(2)
+    for n, u in ((0, 1), (1, 1), (5, 300), (3000, 70_000), (10, 1 << 40)):
+        x = rng.integers(0, u, n)
+        assert (ngrams._unsmall(ngrams._small(x)) == x).all() and len(ngrams._unsmall(ngrams._small(x))) == n
+    for k in (2, 3):
+        words = np.unique(rng.integers(0, 1 << 40, 20_000).astype(np.uint64))
+        grams = rng.integers(0, len(words), (k, 30_000))
+        for g in (grams, grams[:, np.lexsort((grams[0], grams[1]))]):  # in any order, and sorted by the context's word
+            packed = ngrams._spelt(words, g)
+            assert (ngrams._unspelt(*packed, k) == words[g]).all()
+        assert len(packed[0]) < 4.2 * len(words)  # five bytes a word before
+        assert len(packed[1]) < (2 * k - 1.5) * 30_000  # two bytes a number before

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import lookup, running_totals, stage
+from .spread import batches_of, lookup, running_totals, stage
 
 # Words and groups in one broadcast part.
 WORDS_PART = 600_000
@@ -87,9 +87,9 @@ def _related(block: int, position: np.ndarray, code: np.ndarray) -> pa.RecordBat
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(block, positions, codes) of the relation's blocks."""
-    for block, steps, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-        yield block, np.cumsum(np.frombuffer(steps, np.int32), dtype=np.int64), np.frombuffer(code, np.int32).astype(np.int64)
+    """(block, positions, codes) of the relation's blocks, one at a time."""
+    for block, steps, code in zip(*batch.columns, strict=True):
+        yield block.as_py(), np.cumsum(np.frombuffer(steps.as_buffer(), np.int32), dtype=np.int64), np.frombuffer(code.as_buffer(), np.int32).astype(np.int64)
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,6 +231,11 @@ def mine(docs: DataFrame, text: str = "text", group: str = "lang", longest: int
     phrase in byte order. Very long texts are a block of their own. An empty
     table, or texts without a frequent phrase, give no rows.
     """
+    with batches_of(docs.sparkSession):  # every pass over blocks is written in here
+        return _mined(docs, text, group, longest, least, keep)
+
+
+def _mined(docs: DataFrame, text: str, group: str, longest: int, least: int, keep: int) -> DataFrame:
     spark = docs.sparkSession.sparkContext
     texts = docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).cast("binary").alias("group"),
                         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("data"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,23 @@ def small_batches(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+# Bytes of one Arrow batch of rows that hold a block each.
+ARROW_BYTES = 8_000_000
+
+
+@contextmanager
+def batches_of(spark: SparkSession, most: int = ARROW_BYTES) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches of about ``most``
+    bytes, however long the rows are."""
+    at = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(at)
+    spark.conf.set(at, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(at, old)
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], share: int = 1000) -> DataFrame:
     """Inner join of ``left`` with ``right``, which holds each key once.
 

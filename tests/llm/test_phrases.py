@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,27 @@ def test_running_totals_with_one_hot_key(spark):
     for r in sorted(got, key=lambda r: r.id):
         assert r.before == sums[r.k]
         sums[r.k] += r.v
+
+
+def test_blocks_reach_python_in_bounded_batches(spark, monkeypatch):
+    at, seen = "spark.sql.execution.arrow.maxBytesPerBatch", set()
+
+    def stage(df, label, **kw):
+        seen.add(int(spark.conf.get(at)))
+        return spread.stage(df, label, **kw)
+
+    monkeypatch.setattr(phrases, "stage", stage)
+    old = spark.conf.get(at)
+    docs = spark.createDataFrame([(1, "b c d " * 20, "en")], "doc_id long, text string, lang string")
+    out = phrases.mine(docs)
+    assert seen == {spread.ARROW_BYTES} and spark.conf.get(at) == old
+    assert "InArrow" not in out._jdf.queryExecution().toString()  # nothing of it is left to run outside
+    got = sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in out.collect())
+    assert got == brute([(1, "b c d " * 20, "en")], 3, 10, 2000)
+
+
+def test_rows_of_a_relation_are_read_in_place():
+    parts = [phrases._related(i, np.array([1, 4, 5]), np.array([7, 8, i])) for i in range(3)]
+    batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    got = [(b, p.tolist(), c.tolist()) for b, p, c in phrases._rows(batch)]
+    assert got == [(i, [1, 4, 5], [7, 8, i]) for i in range(3)]

@@ -79,3 +79,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 # Rows that one task makes out of its postings (about 100 bytes each in a hash
 # aggregate or a sort); the number of tasks follows from it.
 TASK_ROWS = 1_000_000
+
+# Rows of a batch's query terms up to which every task holds them as arrays and
+# scores whole blocks of documents; more are joined.
+HELD_TERMS = 100_000

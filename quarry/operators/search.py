@@ -29,13 +29,18 @@ frequency is a partial aggregate.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import analyze as A
+from ..functions import counting
+from ..functions.scoring import Groups, id_counts, in_lists, matcher, scorer
 from ..sources.store import stage
 from ..sources.tables import materialize
 from .joins import bounded_broadcast, row_count_at_most
@@ -89,24 +94,31 @@ def field_stats(texts: DataFrame, stopwords: Iterable[str] | None = None,
 def term_rows(texts: DataFrame, stopwords: Iterable[str] | None = None,
               analyzer: Analyzer | None = None) -> DataFrame:
     """(field, term, doc, dl, _keep, tf): the counted terms of every text and
-    one null-term length row, without a shuffle and in document order. The
-    terms are sorted and looked at once for the places where the value changes;
-    a term occurs as often as it is far to the next such place. Texts that
-    share a key give a row each; readers add them up (``_merged``)."""
-    analyzed = materialize(texts.select("field", "doc", "text", "_keep"), text=F.sort_array(_terms_of(F.col("text"), stopwords, analyzer)))
-    analyzed = analyzed.withColumnRenamed("text", "terms")
-    new = F.transform("terms", lambda t, i: F.when((i == 0) | (t != F.get("terms", i - 1)), i))
-    length = F.array(F.lit(-1))  # the place of the length row
-    starts = materialize(analyzed.withColumn("starts", F.lit(None)), starts=F.concat(length, F.filter(new, lambda i: i.isNotNull())))
-    at = starts.select("field", "doc", "_keep", "terms", F.size("terms").alias("dl"), "starts", F.posexplode("starts").alias("_nth", "_at"))
-    times = F.coalesce(F.get("starts", F.col("_nth") + 1), F.col("dl")) - F.col("_at")
-    return at.select("field", F.get("terms", "_at").alias("term"), "doc", "dl", "_keep", F.when(F.col("_at") < 0, 1).otherwise(times).cast("long").alias("tf"))
+    one null-term length row, without a shuffle and in document order. Texts
+    are cut and counted many at a time over their characters
+    (``functions.counting``); those of other than common Latin characters are
+    cut here, and those of an analyzer without ``of_tokens`` analyzed here.
+    Texts that share a key give a row each; readers add them up (``_merged``)."""
+    given, of_tokens = _to_count(texts, stopwords, analyzer)
+    out = "field string, term string, doc {}, dl int, _keep boolean, tf long".format(texts.schema["doc"].dataType.simpleString())
+    return given.mapInArrow(counting.counter(of_tokens), out)
+
+
+def _to_count(texts: DataFrame, stopwords: Iterable[str] | None, analyzer: Analyzer | None) -> tuple[DataFrame, counting.Analyzer]:
+    """What ``counting.counter`` reads, and what it finds in a text's tokens."""
+    of_tokens = counting.stems(stopwords) if analyzer is None else getattr(analyzer, "of_tokens", None)
+    if of_tokens is not None:
+        simple, cut = (F.octet_length("text") == F.char_length("text")) | F.col("text").rlike(counting.SIMPLE), A.raw_tokens("text")
+    else:
+        simple, cut, of_tokens = F.lit(False), analyzer(F.col("text")), counting.as_is
+    seen = materialize(texts.select("field", "doc", "_keep", "text"), simple=simple)
+    return materialize(seen, text=F.when(F.col("simple"), F.col("text")), tokens=F.when(~F.col("simple"), cut)).drop("simple"), of_tokens
 
 
 def _merged(rows: DataFrame) -> DataFrame:
     """Postings of texts with the same key and length added up. On rows dealt
     by document this needs no shuffle."""
-    return rows.groupBy("field", "term", "doc", "dl", "_keep").agg(F.sum("tf").alias("tf"))
+    return rows.groupBy(*[c for c in rows.columns if c != "tf"]).agg(F.sum("tf").alias("tf"))
 
 
 def _by_doc(rows: DataFrame, n_rows: int) -> DataFrame:
@@ -171,32 +183,115 @@ def build_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
     return term_rows(field_texts(docs, key, fields), stopwords, analyzer).drop("_keep")
 
 
+def build_lists(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
+                stopwords: Iterable[str] | None = None, analyzer: Analyzer | None = None) -> DataFrame:
+    """The same index with a text's postings in one row: (field, doc, dl,
+    terms, tfs). Its readers see to a text's terms at once."""
+    given, of_tokens = _to_count(field_texts(docs, key, fields), stopwords, analyzer)
+    out = "field string, doc {}, dl int, terms array<string>, tfs array<int>".format(given.schema["doc"].dataType.simpleString())
+    return given.mapInArrow(counting.counter(of_tokens, lists=True), out)
+
+
+def _listed(index: DataFrame | None) -> bool:
+    return index is not None and "terms" in index.columns
+
+
+def _as_rows(index: DataFrame) -> DataFrame:
+    """``build_index`` rows of an index of either form."""
+    if not _listed(index):
+        return index
+    none = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1).alias("tf")))
+    held = F.concat(none, F.arrays_zip(F.col("terms").alias("term"), F.col("tfs").alias("tf")))
+    return index.select("field", "doc", "dl", F.inline(held).alias("term", "tf")).select("field", "term", "doc", "dl", F.col("tf").cast("long").alias("tf"))
+
+
+def _matched(index: DataFrame, places: Mapping[tuple[str, str], int]) -> DataFrame:
+    """(field, doc, dl, ids, tfs) of all texts of a listed index, with the
+    asked (field, term) only, written once."""
+    asked: dict[str, tuple[list[str], list[int]]] = {}
+    for (field, term), i in places.items():
+        terms, ids = asked.setdefault(field, ([], []))
+        terms.append(term)
+        ids.append(i)
+    out = "field string, doc {}, dl int, ids array<int>, tfs array<int>".format(index.schema["doc"].dataType.simpleString())
+    return stage(index.mapInArrow(matcher(asked), out), "matched")
+
+
+def _ranked_lists(index: DataFrame, of: Mapping[str, Mapping[str, Sequence[str]]], weights: Mapping[str, float],
+                  needs: DataFrame, name: str, min_match: int = 1, k1: float = config.BM25_K1, b: float = config.BM25_B,
+                  among: DataFrame | None = None, best: int | None = None) -> DataFrame | None:
+    """(qid, doc, score, matched) from a listed index: a word (``name``) of a
+    need is worth the most that a field gives it, its weight times the sum of
+    the word's terms in ``of``. None where a document has two texts in a
+    field, which the rows of an index say how to add up."""
+    words = {w: i for i, w in enumerate(dict.fromkeys(w for x in of.values() for w in x))}
+    places: dict[tuple[str, str], int] = {}
+    for f, x in of.items():
+        for terms in x.values():
+            for t in terms:
+                places.setdefault((f, t), len(places))
+    texts = _matched(index, places)
+    if not texts.groupBy("field", "doc").count().where("count > 1").isEmpty():
+        return None
+    stats = {r.field: r for r in texts.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl")).collect()}
+    df, n_docs, avgdl = np.zeros(len(places)), np.zeros(len(places)), np.ones(len(places))
+    for r in texts.mapInArrow(id_counts, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+        df[r.id] = r.n
+    for (f, _), i in places.items():
+        if f in stats:
+            n_docs[i], avgdl[i] = stats[f].n_docs, stats[f].avgdl or 1.0
+    idf = np.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
+    if among is not None:
+        texts = texts.join(bounded_broadcast(among.select("doc").distinct()), "doc", "left_semi")
+    qids, wants = _needs_of(needs, name, words)
+    groups = [(Groups([[places[f, t] for t in of[f].get(w, ())] for w in words]), float(weights.get(f, 1.0))) for f in of]
+    score = scorer(qids, wants, len(places), groups, min_match, best, in_lists(idf, avgdl, k1, b))
+    rows = _by_doc(texts.select("doc", "dl", "ids", "tfs"), max(df.sum(), len(qids) * n_docs.max(initial=0))).sortWithinPartitions("doc")
+    kinds = needs.schema["qid"].dataType.simpleString(), texts.schema["doc"].dataType.simpleString()
+    return rows.mapInArrow(score, "qid {}, doc {}, score double, matched long".format(*kinds))
+
+
 def _statistics(rows: DataFrame, qterms: DataFrame, small: bool, write: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
     """(postings of the query terms, df per (field, term), field statistics,
     whether postings still have to be merged) of ``term_rows`` rows.
-    ``qterms`` may name a ``field`` per term. Texts that share key and length
-    count as one document, which only then costs a shuffle. With ``write`` the
-    postings are written once, so that a whole index is not searched for them
-    by each of their readers."""
+    ``qterms`` may name a ``field`` per term, and an ``id`` that its postings
+    then carry. Texts that share key and length count as one document, which
+    only then costs a shuffle. With ``write`` the postings and length rows are
+    written once, so that a whole index is not searched by each reader."""
     on = ["field", "term"] if "field" in qterms.columns else ["term"]
     if "_keep" not in rows.columns:
         rows = rows.withColumn("_keep", F.lit(True))
+    held = ["id"] if "id" in qterms.columns else []
+    columns = ["field", "term", "doc", "dl", "_keep", "tf", *held]
+    terms = qterms.select(*on, *held).distinct()
+    if not held:
+        terms = terms.withColumn("id", F.lit(0))
+    terms = F.broadcast(terms) if small else terms
+    if write:
+        rows = rows.join(terms, on, "left").where(F.col("term").isNull() | F.col("id").isNotNull())
+        rows = stage(rows.select(*columns), "matched")
+        post = rows.where(F.col("term").isNotNull())
+    else:
+        post = rows.where(F.col("term").isNotNull()).join(terms, on).select(*columns)
     lengths = rows.filter(F.col("term").isNull()).groupBy("field", "doc", "dl", "_keep").agg(F.count(F.lit(1)).alias("n"))
     stats = stage(lengths.groupBy("field").agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("dl").cast("double")).alias("avgdl"), F.max("n").alias("_most")), "stats")
     repeated = (stats.agg(F.max("_most")).first()[0] or 1) > 1
-    terms = qterms.select(*on).distinct()
-    post = rows.filter(F.col("term").isNotNull()).join(F.broadcast(terms) if small else terms, on, "left_semi")
-    post = post.select("field", "term", "doc", "dl", "_keep", "tf")
-    if write:
-        post = stage(post, "matched")
     dfs = stage((_merged(post) if repeated else post).groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")), "dfs")
     return post, dfs, stats.drop("_most"), repeated
 
 
 def index_postings(index: DataFrame, qterms: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
     """(postings of the query terms, field statistics) read from an index."""
-    post, _, stats, repeated = _statistics(index, qterms, small)
+    if _listed(index) and qterms.count() <= config.HELD_TERMS:
+        terms = [r.term for r in qterms.select("term").distinct().collect()]
+        places = {(r.field, t): i for i, (r, t) in enumerate((r, t) for r in index.select("field").distinct().collect() for t in terms)}
+        named = _table(qterms, id=pa.array(places.values(), pa.int32()), term=pa.array([t for _, t in places], pa.string()))
+        texts = _matched(index, places)
+        none = F.array(F.struct(F.lit(None).cast("int").alias("id"), F.lit(1).alias("tf")))
+        rows = texts.select("field", "doc", "dl", F.inline(F.concat(none, F.arrays_zip(F.col("ids").alias("id"), F.col("tfs").alias("tf")))).alias("id", "tf"))
+        index = rows.join(F.broadcast(named), "id", "left").select("field", "term", "doc", "dl", F.col("tf").cast("long").alias("tf"))
+    post, _, stats, repeated = _statistics(_as_rows(index), qterms, small)
     return _merged(post) if repeated else post, stats
 
 
@@ -215,28 +310,62 @@ def bm25_term_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | st
     statistics are taken, so filters never change idf or avgdl. The rows are
     dealt by document, so sums per document need no shuffle."""
     small = row_count_at_most(qterms, config.BROADCAST_MAX_ROWS)
+    worth = _term_worth(docs, key, fields, qterms, qterms, small, weights, k1, b, stopwords, candidates, keep, analyzer, index)
+    scored = _asked(worth, qterms, small, ["term"])
+    if candidates is not None:
+        scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
+    return scored.select("qid", "doc", "term", "s")
+
+
+def _term_worth(docs: DataFrame, key: str, fields: Mapping[str, Column | str], terms: DataFrame, qterms: DataFrame, small: bool,
+                weights: Mapping[str, float] | None, k1: float, b: float, stopwords: Iterable[str] | None,
+                candidates: DataFrame | None = None, keep: Column | None = None,
+                analyzer: Analyzer | None = None, index: DataFrame | None = None, among: DataFrame | None = None) -> DataFrame:
+    """(doc, term, _worth), and ``id`` if ``terms`` has one: what the postings
+    of ``terms`` add to a score, in the best field, dealt by document."""
     stored = index is not None and keep is None
-    rows = index if stored else query_rows(field_texts(docs, key, fields, keep), qterms, small, stopwords, analyzer)
-    post, dfs, stats, repeated = _statistics(rows, qterms, small, write=stored)
+    rows = _as_rows(index) if stored else query_rows(field_texts(docs, key, fields, keep), terms, small, stopwords, analyzer)
+    post, dfs, stats, repeated = _statistics(rows, terms, small, write=stored)
     if keep is not None:
         post = post.filter(F.col("_keep"))
-    if candidates is not None:
-        post = post.join(bounded_broadcast(candidates.select("doc").distinct()), "doc", "left_semi")
-    else:
-        post = _by_doc(post, _rows_made(dfs, qterms, ["term"]))
-    if repeated:
-        post = _merged(post)
     weights = dict(weights or {})
     wcol = F.lit(1.0)
     for name, w in weights.items():
         wcol = F.when(F.col("field") == name, F.lit(float(w))).otherwise(wcol)
-    worth = _worth(post, dfs, stats, small, wcol, k1, b)
-    if len(fields) > 1:  # qtf is the same for all fields, so the best field is found before the needs
-        worth = worth.groupBy("doc", "term").agg(F.max("_worth").alias("_worth"))
-    scored = _asked(worth, qterms, small, ["term"])
+    if among is not None:
+        post = post.join(bounded_broadcast(among.select("doc").distinct()), "doc", "left_semi")
+    made = _rows_made(dfs, qterms, ["term"]) if candidates is None else None
     if candidates is not None:
-        scored = scored.join(bounded_broadcast(candidates.select("qid", "doc")), ["qid", "doc"])
-    return scored.select("qid", "doc", "term", "s")
+        post = post.join(bounded_broadcast(candidates.select("doc").distinct()), "doc", "left_semi")
+    worth = _dealt_worth(post, dfs, stats, small, wcol, k1, b, repeated, made)
+    if len(fields) > 1:  # qtf is the same for all fields, so the best field is found before the needs
+        worth = worth.groupBy("doc", *[c for c in ("term", "id") if c in worth.columns]).agg(F.max("_worth").alias("_worth"))
+    return worth
+
+
+def _table(of: DataFrame, **columns: pa.Array) -> DataFrame:
+    """A small table of the driver, made without Python workers."""
+    return of.sparkSession.createDataFrame(pa.table(columns))
+
+
+def _held(rows: DataFrame) -> bool:
+    """Whether the query terms, each as often as it is asked for, are few
+    enough to be held as arrays by every task."""
+    return (rows.agg(F.sum("qtf")).first()[0] or 0) <= config.HELD_TERMS
+
+
+def _needs_of(rows: DataFrame, name: str, places: Mapping[str, int]) -> tuple[pa.Array, Groups]:
+    """(qids, the places of each need's words or terms, as often as it holds them)."""
+    got = rows.groupBy("qid").agg(F.collect_list(F.struct(F.col(name).alias("x"), "qtf")).alias("of")).toArrow().combine_chunks()
+    return got.column("qid").combine_chunks(), Groups([[places[y["x"]] for y in x for _ in range(y["qtf"])] for x in got.column("of").to_pylist()])
+
+
+def _scored(worth: DataFrame, like: DataFrame, score: Callable) -> DataFrame:
+    """(qid, doc, score, matched) of postings (doc, id, _worth) dealt by
+    document: scored block by block, with a document's rows together."""
+    rows = worth.select("doc", "id", F.col("_worth").alias("worth")).sortWithinPartitions("doc")
+    kinds = like.schema["qid"].dataType.simpleString(), worth.schema["doc"].dataType.simpleString()
+    return rows.mapInArrow(score, "qid {}, doc {}, score double, matched long".format(*kinds))
 
 
 def _rows_made(dfs: DataFrame, qterms: DataFrame, on: Sequence[str]) -> int:
@@ -251,11 +380,22 @@ def _worth(post: DataFrame, dfs: DataFrame, stats: DataFrame, small: bool, weigh
     return (
         post.join(F.broadcast(dfs) if small else dfs, ["field", "term"])
         .join(F.broadcast(stats), "field")  # one row per field
-        .select("field", "term", "doc", (weight * _bm25_expr(
+        .select("field", "term", "doc", *[c for c in post.columns if c == "id"], (weight * _bm25_expr(
             F.col("tf"), F.col("dl"), F.col("df"), F.col("n_docs"), F.col("avgdl"), k1, b)).alias("_worth"))
     )
 
 
+def _dealt_worth(post: DataFrame, dfs: DataFrame, stats: DataFrame, small: bool, weight: Column, k1: float, b: float,
+                 repeated: bool, made: int | None) -> DataFrame:
+    """``_worth`` of postings, dealt by document for ``made`` rows. Where no
+    key repeats, only what a posting is worth is shuffled."""
+    if repeated:
+        return _worth(_merged(post if made is None else _by_doc(post, made)), dfs, stats, small, weight, k1, b)
+    worth = _worth(post, dfs, stats, small, weight, k1, b)
+    worth = worth.drop("field") if "id" in worth.columns else worth
+    return worth if made is None else _by_doc(worth, made)
+
+
 def _asked(worth: DataFrame, qterms: DataFrame, small: bool, on: Sequence[str]) -> DataFrame:
     """Every posting with the query terms it answers and ``s``, its score."""
     scored = worth.join(F.broadcast(qterms) if small else qterms, list(on))
@@ -267,15 +407,34 @@ def bm25(docs: DataFrame, key: str, fields: Mapping[str, Column | str] | str,
          weights: Mapping[str, float] | None = None, min_match: int = 1,
          k1: float = config.BM25_K1, b: float = config.BM25_B,
          stopwords: Iterable[str] | None = None, keep: Column | None = None,
-         candidates: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
+         candidates: DataFrame | None = None, index: DataFrame | None = None,
+         among: DataFrame | None = None, best: int | None = None) -> DataFrame:
     """(qid, doc, score, matched): every document matching >= ``min_match``
-    distinct query terms, scored. ``keep`` (a predicate over ``docs``) and
-    ``candidates`` (qid, doc) filter results, never statistics (IR11)."""
+    distinct query terms, scored. ``keep`` (a predicate over ``docs``),
+    ``candidates`` (qid, doc) and ``among`` (doc) filter results, never
+    statistics (IR11). With ``best``, for a ranking that follows at once, rows
+    may be left out that are not among so many of a need (``top_k``)."""
     if isinstance(fields, str):
         fields = {fields: fields}
     qterms = query_terms(queries, qid, text, stopwords)
-    ts = bm25_term_scores(docs, key, fields, qterms, weights, k1, b, stopwords, candidates, keep, index=index)
-    out = ts.groupBy("qid", "doc").agg(F.sum("s").alias("score"), F.count(F.lit(1)).alias("matched"))
+    held = candidates is None and _held(qterms)
+    out = None
+    if held and keep is None and _listed(index):
+        terms = [r.term for r in qterms.select("term").distinct().collect()]
+        out = _ranked_lists(index, {f: {t: [t] for t in terms} for f in fields}, dict(weights or {}), qterms, "term", min_match, k1, b, among, best)
+    if out is not None:
+        return out
+    if held:
+        places = {r.term: i for i, r in enumerate(qterms.select("term").distinct().collect())}
+        terms = _table(qterms, term=pa.array(places, pa.string()), id=pa.array(places.values(), pa.int32()))
+        qids, needs = _needs_of(qterms, "term", places)
+        worth = _term_worth(docs, key, fields, terms, terms, True, weights, k1, b, stopwords, None, keep, index=index, among=among)
+        out = _scored(worth, qterms, scorer(qids, needs, len(places), min_match=min_match, best=best))
+    else:
+        ts = bm25_term_scores(docs, key, fields, qterms, weights, k1, b, stopwords, candidates, keep, index=index)
+        if among is not None:
+            ts = ts.join(bounded_broadcast(among.select("doc").distinct()), "doc", "left_semi")
+        out = ts.groupBy("qid", "doc").agg(F.sum("s").alias("score"), F.count(F.lit(1)).alias("matched"))
     return out.filter(F.col("matched") >= F.lit(min_match))
 
 
@@ -348,8 +507,8 @@ def query_bigrams(queries: DataFrame, qid: str = "qid", text: str = "text",
 def doc_terms(texts: DataFrame, stopwords: Iterable[str] | None = None) -> DataFrame:
     """(field, doc, terms): the analyzed words of a text in place, null where a
     stopword stands, so a term's position is its place in the array."""
-    placed = F.transform(A.raw_tokens("text"), lambda t: F.when(~A.is_stopword(t, stopwords), A.stem(t)))
-    return materialize(texts.select("field", "doc", "text"), text=placed).withColumnRenamed("text", "terms")
+    given, of_tokens = _to_count(texts, stopwords, None)
+    return given.mapInArrow(counting.placer(of_tokens), "field string, doc {}, terms array<string>".format(texts.schema["doc"].dataType.simpleString()))
 
 
 def build_position_index(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
@@ -418,9 +577,9 @@ def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
                   weights: Mapping[str, float] | None = None,
                   k1: float = config.BM25_K1, b: float = config.BM25_B,
                   stopwords: Iterable[str] | None = None, index: DataFrame | None = None,
-                  positions: DataFrame | None = None) -> DataFrame:
+                  positions: DataFrame | None = None, among: DataFrame | None = None) -> DataFrame:
     """IR7 word-pair boost: (qid, doc, s) summed over the query's adjacent
-    pairs. Per pair and field: sloppy frequency sum(1 / (1 + dist - gap))
+    pairs, for all documents or those ``among`` (doc). Per pair and field: sloppy frequency sum(1 / (1 + dist - gap))
     scored by BM25 with idf(t1) + idf(t2); max over weighted fields.
     With ``index`` and ``positions`` (stored indexes of the same fields) no
     document is tokenized."""
@@ -435,6 +594,11 @@ def phrase_scores(docs: DataFrame, key: str, fields: Mapping[str, Column | str],
         post, stats = index_postings(query_rows(texts, qterms, small, stopwords), qterms, small)
     stats = F.broadcast(stats)
     dfs = F.broadcast(post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")))
+    if among is not None:
+        among = bounded_broadcast(among.select("doc").distinct())
+        post = post.join(among, "doc", "left_semi")
+        texts = texts.join(among, "doc", "left_semi") if texts is not None else None
+        positions = positions.join(among, "doc", "left_semi") if positions is not None else None
     lens = post.select("doc", "field", "dl").distinct()
     occ = phrase_occurrences(texts, bg, slop, stopwords, positions).join(
         F.broadcast(bg.select("qid", "idx", "gap")), ["qid", "idx"]
@@ -500,6 +664,7 @@ def gram_analyzer(n: int = 3, stopwords: Iterable[str] | None = None) -> Analyze
         kept = F.filter(A.raw_tokens(text), lambda t: ~A.is_stopword(t, stopwords))
         return F.flatten(F.transform(kept, lambda t: A.char_ngrams(t, n)))
 
+    run.of_tokens = counting.grams(n, stopwords)
     return run
 
 
@@ -518,7 +683,8 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
                 stopwords: Iterable[str] | None = None,
                 fields: Mapping[str, Column | str] | None = None,
                 weights: Mapping[str, float] | None = None,
-                indexes: Mapping[str, DataFrame] | None = None) -> DataFrame:
+                indexes: Mapping[str, DataFrame] | None = None,
+                among: DataFrame | None = None, best: int | None = None) -> DataFrame:
     """Word-level disjunction-max of stemmed fields and their n-gram copies:
     per query word, the maximum over fields of ``weight x score`` where a
     stemmed field scores stem(word) and an n-gram copy (weight
@@ -528,6 +694,7 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
     A word's score in a document does not depend on the need, so it is made
     once per distinct word and then handed to the needs that hold the word.
     All of it happens where the document's postings were dealt.
+    ``among`` and ``best`` are those of ``bm25``.
 
     ``fields``/``weights`` default to the single ``field`` with weight 1."""
     fields = dict(fields) if fields is not None else {"text": field}
@@ -542,24 +709,44 @@ def gram_search(docs: DataFrame, key: str, field: Column | str, queries: DataFra
             part = part.select(F.lit(f).alias("field"), "word", "term", "qtf")
             asked = part if asked is None else asked.unionByName(part)
     small = row_count_at_most(asked, config.BROADCAST_MAX_ROWS)
+    weighted = [(f, w) for name in fields for f, w in ((name, weights[name]), (name + "_gram", gram_weight * weights[name]))]
     indexes = dict(indexes or {})
+    held = _held(asked.select("qtf").unionByName(words.select("qtf")))
+    if held:
+        of: dict[str, dict[str, list[str]]] = {f: {} for f, _ in weighted}
+        for r in asked.collect():
+            of[r.field].setdefault(r.word, []).extend([r.term] * r.qtf)
+    parts = [indexes.get(x) for x in ("stemmed", *(f + "_gram" for f in fields))]
+    if held and all(_listed(x) for x in parts):
+        index = functools.reduce(DataFrame.unionByName, parts)
+        found = _ranked_lists(index, of, dict(weighted), words, "word", among=among, best=best)
+        if found is not None:
+            return found.select("qid", "doc", "score")
     if "stemmed" not in indexes:
         indexes["stemmed"] = query_rows(field_texts(docs, key, fields), stems, small, stopwords)
-    rows = indexes["stemmed"].select("field", "term", "doc", "dl", "tf")
+    rows = _as_rows(indexes["stemmed"]).select("field", "term", "doc", "dl", "tf")
     for name, col in fields.items():
         gram = indexes.get(name + "_gram")
         if gram is None:
             gram = query_rows(field_texts(docs, key, {name + "_gram": col}), grams, small, stopwords, gram_analyzer(n, stopwords))
-        rows = rows.unionByName(gram.select("field", "term", "doc", "dl", "tf"))
-    post, dfs, stats, repeated = _statistics(rows, asked, small)
+        rows = rows.unionByName(_as_rows(gram).select("field", "term", "doc", "dl", "tf"))
+    if held:
+        at = {w: i for i, w in enumerate(dict.fromkeys(w for x in of.values() for w in x))}
+        places = {x: i for i, x in enumerate(dict.fromkeys((f, t) for f, x in of.items() for terms in x.values() for t in terms))}
+        asked = _table(words, field=pa.array([f for f, _ in places], pa.string()), term=pa.array([x for _, x in places], pa.string()),
+                       id=pa.array(places.values(), pa.int32()))
+    post, dfs, stats, repeated = _statistics(rows, asked, small, write=True)
     made = _rows_made(dfs, asked, ["field", "term"])
     pairs = words.select("qid").distinct().count() * (stats.agg(F.max("n_docs")).first()[0] or 0)
-    post = _by_doc(post, max(made, pairs))
-    if repeated:
-        post = _merged(post)
-    scored = _asked(_worth(post, dfs, stats, small, F.lit(1.0)), asked, small, ["field", "term"])
-    of_field = [F.sum(F.when(F.col("field") == f, F.col("s"))) * F.lit(w)
-                for name in fields for f, w in ((name, weights[name]), (name + "_gram", gram_weight * weights[name]))]
+    if among is not None:
+        post = post.join(bounded_broadcast(among.select("doc").distinct()), "doc", "left_semi")
+    worth = _dealt_worth(post, dfs, stats, small, F.lit(1.0), config.BM25_K1, config.BM25_B, repeated, max(made, pairs))
+    if held:
+        qids, needs = _needs_of(words, "word", at)
+        groups = [(Groups([[places[f, t] for t in of[f].get(w, ())] for w in at]), w_) for f, w_ in weighted]
+        return _scored(worth, words, scorer(qids, needs, len(places), groups, best=best)).select("qid", "doc", "score")
+    scored = _asked(worth, asked, small, ["field", "term"])
+    of_field = [F.sum(F.when(F.col("field") == f, F.col("s"))) * F.lit(w) for f, w in weighted]
     per_word = scored.groupBy("doc", "word").agg(F.greatest(*of_field).alias("s"))
     return per_word.join(F.broadcast(words) if small else words, "word").groupBy("qid", "doc").agg(
         F.sum(F.col("qtf") * F.col("s")).alias("score"))

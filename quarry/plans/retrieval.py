@@ -45,7 +45,7 @@ def plot(col: str = "text"):
 
 def corpus_index(t: Tables, spec: str) -> DataFrame:
     """Stored inverted index of ``documents`` (built once per input
-    fingerprint): 'text' (stemmed text), 'fields' (stemmed overview + plot),
+    fingerprint, a text's postings in one row): 'text' (stemmed text), 'fields' (stemmed overview + plot),
     'text_gram' / 'overview_gram' / 'plot_gram' (character trigrams)."""
     from ..sources.store import derived
     from ..sources.tables import table_path
@@ -60,7 +60,7 @@ def corpus_index(t: Tables, spec: str) -> DataFrame:
     fields, analyzer = specs[spec]
     inputs = [table_path(t.sf_dir, "documents")]
     return derived(t.spark, f"index-{spec}", inputs,
-                   lambda: SR.build_index(t.documents, "doc_id", fields, analyzer=analyzer))
+                   lambda: SR.build_lists(t.documents, "doc_id", fields, analyzer=analyzer))
 
 
 def corpus_positions(t: Tables, spec: str) -> DataFrame:

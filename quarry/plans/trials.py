@@ -14,7 +14,6 @@ from .. import config
 from ..functions import text as T
 from ..operators import evaluate as EV
 from ..operators import search as SR
-from ..operators.joins import bounded_broadcast
 from ..sources.tables import Tables
 from .query_edits import TYPOS, _expand, _remove_request_words, edited_needs
 from .registry import register
@@ -30,7 +29,9 @@ def _fields() -> dict[str, Column]:
     return {"overview": overview(), "plot": plot()}
 
 
-def _scored(t: Tables, trial: str) -> DataFrame:
+def _scored(t: Tables, trial: str, judged: DataFrame) -> DataFrame:
+    """(qid, doc, score) of the judged documents; rankings that nothing is
+    added to leave out what cannot be in a run."""
     d = t.documents
     q = needs(t)
     if trial.endswith("/typos"):
@@ -41,32 +42,33 @@ def _scored(t: Tables, trial: str) -> DataFrame:
         q = edited_needs(t, _expand)
     text_idx, fields_idx = corpus_index(t, "text"), corpus_index(t, "fields")
     if trial in ("A", "rerank"):
-        return SR.bm25(d, "doc_id", "text", q, index=text_idx).select("qid", "doc", "score")
+        return SR.bm25(d, "doc_id", "text", q, index=text_idx, among=judged, best=config.RUN_DEPTH).select("qid", "doc", "score")
     if trial == "phrases":
-        base = SR.bm25(d, "doc_id", "text", q, index=text_idx)
+        base = SR.bm25(d, "doc_id", "text", q, index=text_idx, among=judged)
         ps = SR.phrase_scores(d, "doc_id", {"text": "text"}, q, slop=1, index=text_idx,
-                              positions=corpus_positions(t, "text"))
+                              positions=corpus_positions(t, "text"), among=judged)
     elif trial == "fields+phrases":
-        base = SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx)
+        base = SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx, among=judged)
         ps = SR.phrase_scores(d, "doc_id", _fields(), q, slop=1, weights=FIELD_WEIGHTS, index=fields_idx,
-                              positions=corpus_positions(t, "fields"))
+                              positions=corpus_positions(t, "fields"), among=judged)
     elif "+grams" in trial:
         idx = {"stemmed": fields_idx, "overview_gram": corpus_index(t, "overview_gram"),
                "plot_gram": corpus_index(t, "plot_gram")}
         return SR.gram_search(d, "doc_id", None, q, gram_weight=0.1, fields=_fields(), weights=FIELD_WEIGHTS,
-                              indexes=idx)
+                              indexes=idx, among=judged, best=config.RUN_DEPTH)
     else:
-        return SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx).select("qid", "doc", "score")
+        return SR.bm25(d, "doc_id", _fields(), q, weights=FIELD_WEIGHTS, index=fields_idx, among=judged,
+                       best=config.RUN_DEPTH).select("qid", "doc", "score")
     return SR.with_boost(base, ps)
 
 
 def trial_runs(t: Tables) -> DataFrame:
     """(run_id = trial, qid, doc, rank, score): top 20 among judged
     documents for every trial."""
-    judged = bounded_broadcast(t.labels.select(F.col("doc_id").alias("doc")).distinct())
+    judged = t.labels.select(F.col("doc_id").alias("doc")).distinct()
     runs = None
     for trial in TRIALS:
-        top = SR.top_k(_scored(t, trial).join(judged, "doc", "left_semi"), config.RUN_DEPTH)
+        top = SR.top_k(_scored(t, trial, judged), config.RUN_DEPTH)
         if trial == "rerank":
             top = SR.rerank(top.select("qid", "doc", "rank", "score"), t.documents, "doc_id", overview(), needs(t))
         r = top.select(F.lit(trial).alias("run_id"), "qid", "doc", "rank", "score")

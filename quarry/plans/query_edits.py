@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import text as T
 from ..operators import search as SR
 from ..sources.tables import Tables
@@ -119,7 +120,7 @@ def trigram_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     q = edited_needs(t, lambda c: c)
     return _run_columns(SR.top_k(SR.gram_search(t.documents, "doc_id", F.col("text"), q, gram_weight=GRAM_WEIGHT,
-                                                indexes=_gram_indexes(t))))
+                                                indexes=_gram_indexes(t), best=config.RUN_DEPTH)))
 
 
 @register("trigram_typo_search", _gram_sql(_needs_sql(_typos_sql)))
